@@ -61,5 +61,5 @@ def normalise_key(c: Column) -> Column:
 
 def split_list(c: Column, drop_empty: bool = True) -> Column:
     """Comma list as an array of trimmed texts; NULL has no list."""
-    parts = F.transform(F.split(c, ","), F.trim)
+    parts = F.transform(F.split(c, ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "") if drop_empty else parts

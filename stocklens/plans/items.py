@@ -62,3 +62,12 @@ def own_key() -> Column:
 
 def related_key() -> Column:
     return text_key(F.col("related_code"))
+
+
+def with_item_year(items: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame:
+    """Flag items that have data in the configured fiscal year."""
+    rows = t.item_year.filter(
+        (F.col("company") == cfg.company) & (F.col("fiscprd") == cfg.item_year)
+    )
+    rows = rows.select(F.col("mtrl").alias("item_id"), F.col("fiscprd").alias("item_year"))
+    return items.join(rows, "item_id", "left")
