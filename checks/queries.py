@@ -355,7 +355,7 @@ def expected_arrivals(t):
 
 @over_tables
 def virtual_arrivals(t):
-    return M.virtual_arrivals(t, CFG, AS_OF, CFG.virtual_suppliers)
+    return M.virtual_arrivals(t, CFG, AS_OF, (CFG.dsv, CFG.tql))
 
 
 @over_tables

@@ -153,10 +153,5 @@ class ReportConfig:
     def logistics_companies(self) -> tuple[str, ...]:
         return tuple(n for s in self.outside_sites for n in s.logistics_suppliers)
 
-    @property
-    def virtual_suppliers(self) -> tuple[str, ...]:
-        """Logistics companies counted as virtual arrivals in the deals report."""
-        return self.dsv.logistics_suppliers + self.tql.logistics_suppliers
-
     def with_(self, **changes) -> "ReportConfig":
         return replace(self, **changes)

@@ -14,16 +14,12 @@ def in_last_days(ts: Column, as_of: date, days: int) -> Column:
     A plain range on the stored timestamp, so a Parquet scan can skip row groups.
     """
     first, after = as_of - timedelta(days=days), as_of + timedelta(days=1)
-    return (ts >= _midnight(first)) & (ts < _midnight(after))
+    return (ts >= F.lit(first)) & (ts < F.lit(after))
 
 
 def in_year(ts: Column, year: int) -> Column:
     """``ts`` falls in the calendar year; a range, not ``year(ts)``, so scans can skip."""
-    return (ts >= _midnight(date(year, 1, 1))) & (ts < _midnight(date(year + 1, 1, 1)))
-
-
-def _midnight(d: date) -> Column:
-    return F.lit(d.isoformat()).cast("timestamp")
+    return (ts >= F.lit(date(year, 1, 1))) & (ts < F.lit(date(year + 1, 1, 1)))
 
 
 def month_index(year: Column, month: Column) -> Column:

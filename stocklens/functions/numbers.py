@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,9 +12,14 @@ def or_zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def sum_where(condition: Column, value: Column) -> Column:
+def sum_where(condition: str, value: str) -> Column:
     """Sum of ``value`` over the rows meeting ``condition``; NULL when there are none."""
-    return F.sum(F.when(condition, value))
+    return F.expr(f"sum({value}) FILTER (WHERE {condition})")
+
+
+def add_up(terms: Iterable[str]) -> Column:
+    """Sum of columns, a NULL counting as 0."""
+    return F.expr(" + ".join(f"coalesce({t}, 0D)" for t in terms))
 
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:

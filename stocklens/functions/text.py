@@ -32,7 +32,12 @@ def same_text(a: Column, b: Column) -> Column:
 
 def in_texts(c: Column, texts: Iterable[str]) -> Column:
     """``c IN (texts)`` under the comparison of :func:`text_key`; NULL in, NULL out."""
-    return text_key(c).isin(*[_fold(t) for t in texts])
+    return in_folded(text_key(c), texts)
+
+
+def in_folded(key: Column, texts: Iterable[str]) -> Column:
+    """:func:`in_texts` for a column that is a :func:`text_key` already."""
+    return key.isin(*[_fold(t) for t in texts])
 
 
 def matches_any(c: Column, patterns: Iterable[str]) -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from stocklens.config import ReportConfig, Site
 from stocklens.functions.dates import month_index, month_index_of
-from stocklens.functions.numbers import or_zero, sum_where
-from stocklens.operators.movements import weighted_price
+from stocklens.functions.numbers import add_up, or_zero, sum_where
 from stocklens.sources.tables import of_company
 
 
@@ -19,11 +18,11 @@ def year_costs(costs: DataFrame, cfg: ReportConfig, year: int) -> DataFrame:
     rows = of_company(costs, cfg.company).filter(
         (F.col("period") == cfg.year_cost_period) & F.col("fiscprd").isin(year, year - 1)
     )
-    this, last = F.col("fiscprd") == year, F.col("fiscprd") == year - 1
+    this, last = f"fiscprd = {year}", f"fiscprd = {year - 1}"
     return rows.groupBy(F.col("mtrl").alias("item_id")).agg(
-        sum_where(this, F.col("purfifo")).alias("fifo_this_year"),
-        sum_where(last, F.col("purfifo")).alias("fifo_last_year"),
-        sum_where(this, F.col("standcost")).alias("standard_this_year"),
+        sum_where(this, "purfifo").alias("fifo_this_year"),
+        sum_where(last, "purfifo").alias("fifo_last_year"),
+        sum_where(this, "standcost").alias("standard_this_year"),
     )
 
 
@@ -48,17 +47,17 @@ def arrival_price(sites: Iterable[Site], mode: str = "sum") -> Column:
     ``sum`` adds the weighted prices of the sites, as the report does; ``pooled``
     weighs all sites together.
     """
-    sites = list(sites)
+    names = [s.name for s in sites]
     if mode == "sum":
-        return sum((or_zero(weighted_price(s)) for s in sites), F.lit(0.0))
+        return add_up(f"try_divide({n}_arrivals_value, {n}_arrivals)" for n in names)
     if mode == "pooled":
-        value = sum((or_zero(F.col(f"{s.name}_arrivals_value")) for s in sites), F.lit(0.0))
-        return or_zero(F.try_divide(value, arrival_quantity(sites)))
+        value = add_up(f"{n}_arrivals_value" for n in names)
+        return or_zero(F.try_divide(value, add_up(f"{n}_arrivals" for n in names)))
     raise ValueError(f"unknown mode: {mode}")
 
 
 def arrival_quantity(sites: Iterable[Site]) -> Column:
-    return sum((or_zero(F.col(f"{s.name}_arrivals")) for s in sites), F.lit(0.0))
+    return add_up(f"{s.name}_arrivals" for s in sites)
 
 
 def standard_cost(sites: Iterable[Site], mode: str = "sum") -> Column:
@@ -95,9 +94,7 @@ def monthly_sales(balances: DataFrame, cfg: ReportConfig, as_of) -> DataFrame:
         & index.between(now - MONTHS_BACK[0], now)
         & F.col("fiscprd").between((now - MONTHS_BACK[0] - 1) // 12, as_of.year)
     )
-    return rows.groupBy(F.col("mtrl").alias("item_id")).agg(
-        *[
-            sum_where(index == now - k, F.col("salqty")).alias(f"month_{k}")
-            for k in MONTHS_BACK
-        ]
+    rows = rows.select(F.col("mtrl").alias("item_id"), (now - index).alias("back"), "salqty")
+    return rows.groupBy("item_id").agg(
+        *[sum_where(f"back = {k}", "salqty").alias(f"month_{k}") for k in MONTHS_BACK]
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stocklens.config import ReportConfig, Site
 from stocklens.functions.dates import in_last_days
 from stocklens.functions.numbers import or_zero, sum_where
-from stocklens.functions.text import in_texts, text_key
+from stocklens.functions.text import in_folded, in_texts, text_key
 from stocklens.operators.lines import (
     document_lines,
     home_price,
@@ -69,31 +69,35 @@ def item_movements(
     enough = F.lit(True) if sales_min_quantity is None else quantity >= sales_min_quantity
     lines = lines.filter(F.when(bought, counts).when(sold, enough).otherwise(True))
 
-    open_ = F.when(bought & (open_quantity() != 0), open_quantity())
     destination = F.col("destination_id") if transfer_types else F.lit(None).cast("int")
-    return lines.groupBy(
+    windows = {
+        f"sold_{n}": F.when(sold & in_last_days(F.col("doc_time"), as_of, n), quantity)
+        for n in days
+    }
+    measured = lines.select(
         "item_id",
         "source",
         "doc_type_id",
         F.when(bought, F.col("partner_id")).alias("partner_id"),
         "warehouse_id",
         destination.alias("destination_id"),
-    ).agg(
-        F.sum(open_).alias("open_quantity"),
-        F.sum(open_ * or_zero(F.col("unit_price"))).alias("open_value"),
-        F.sum(open_ * home_price()).alias("open_value_foreign"),
-        *[
-            sum_where(sold & in_last_days(F.col("doc_time"), as_of, n), quantity).alias(
-                f"sold_{n}"
-            )
-            for n in days
-        ],
-        sum_where(F.col("source") == cfg.transfer_source, quantity).alias("moved"),
+        F.when(bought & (open_quantity() != 0), open_quantity()).alias("open_quantity"),
+        or_zero(F.col("unit_price")).alias("price"),
+        home_price().alias("home_price"),
+        *[c.alias(name) for name, c in windows.items()],
+        F.when(~bought & ~sold, quantity).alias("moved"),
+    )
+    return measured.groupBy(*measured.columns[:6]).agg(
+        F.sum("open_quantity").alias("open_quantity"),
+        F.expr("sum(open_quantity * price)").alias("open_value"),
+        F.expr("sum(open_quantity * home_price)").alias("open_value_foreign"),
+        *[F.sum(name).alias(name) for name in windows],
+        F.sum("moved").alias("moved"),
     )
 
 
 def named_movements(moves: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame:
-    """Movements with the names the report rules test."""
+    """Movements with what the report rules test: places, document type and supplier."""
     named = moves.join(
         warehouse_names(t, cfg, "warehouse_id", "warehouse"), "warehouse_id", "left"
     )
@@ -101,70 +105,75 @@ def named_movements(moves: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame
         warehouse_names(t, cfg, "destination_id", "destination"), "destination_id", "left"
     )
     named = with_partner(with_doc_type(named, t), t)
+    place, goal, partner = (text_key(F.col(c)) for c in ("warehouse", "destination", "partner"))
+    sites = (cfg.own, cfg.tql, cfg.dream_cargo, cfg.dsv, cfg.hub)
     foreign = F.col("currency") != cfg.home_currency
-    value = F.when(foreign, F.col("open_value_foreign")).otherwise(F.col("open_value"))
-    return named.withColumn("open_value", value)
-
-
-# ---- measures of a movement -------------------------------------------------------------------
+    return named.select(
+        "item_id",
+        "doc_type_id",
+        "partner",
+        "open_quantity",
+        F.when(foreign, F.col("open_value_foreign"))
+        .otherwise(F.col("open_value"))
+        .alias("open_value"),
+        *[c for c in moves.columns if c.startswith("sold_")],
+        "moved",
+        place.isNotNull().alias("at_known_place"),
+        *[in_folded(place, s.warehouses).alias(f"at_{s.name}") for s in sites],
+        *[in_folded(goal, s.warehouses).alias(f"to_{s.name}") for s in (cfg.own, cfg.hub)],
+        in_texts(F.col("doc_type"), cfg.arrival_type_names).alias("arriving"),
+        *[
+            in_folded(partner, s.logistics_suppliers).alias(f"via_{s.name}")
+            for s in sites
+            if s.logistics_suppliers
+        ],
+        F.col("doc_type_id").isin(*cfg.export_types).alias("exported"),
+    )
 
 
-def is_arrival(cfg: ReportConfig, site: Site) -> Column:
-    """Goods on order or in transit to a site."""
-    return in_texts(F.col("warehouse"), site.warehouses) & in_texts(
-        F.col("doc_type"), cfg.arrival_type_names
-    )
+# ---- measures over named movements ------------------------------------------------------------
 
 
-def arrival_sums(cfg: ReportConfig, sites: Iterable[Site]) -> list[Column]:
-    """Per site: units to arrive and their value."""
+def arrival_sums(sites: Iterable[Site]) -> list[Column]:
+    """Per site: units on order or in transit to it, and their value."""
     return [
-        sum_where(is_arrival(cfg, s), F.col(value)).alias(f"{s.name}_{name}")
+        sum_where(f"arriving AND at_{s.name}", value).alias(f"{s.name}_{name}")
         for s in sites
         for name, value in (("arrivals", "open_quantity"), ("arrivals_value", "open_value"))
     ]
 
 
-def virtual_sum(cfg: ReportConfig, suppliers: Iterable[str]) -> Column:
-    """Units to arrive at own stores from a logistics company: already in its stock."""
-    condition = is_arrival(cfg, cfg.own) & in_texts(F.col("partner"), suppliers)
-    return sum_where(condition, F.col("open_quantity")).alias("virtual_arrivals")
-
+def virtual_sum(cfg: ReportConfig, via: Iterable[Site]) -> Column:
+    """Units to arrive at own stores from the logistics companies of sites.
 
-def sold_sum(days: int, name: str, condition: Column | None = None) -> Column:
-    """Units sold in a window, from known warehouses."""
-    known = F.col("warehouse").isNotNull()
-    where = known if condition is None else known & condition
-    return sum_where(where, F.col(f"sold_{days}")).alias(name)
+    They already lie at those sites.
+    """
+    companies = " OR ".join(f"via_{s.name}" for s in via)
+    condition = f"arriving AND at_{cfg.own.name} AND ({companies})"
+    return sum_where(condition, "open_quantity").alias("virtual_arrivals")
 
 
-def is_export_sale(cfg: ReportConfig) -> Column:
-    return F.col("doc_type_id").isin(*cfg.export_types)
+def sold_sum(days: int, name: str, condition: str = "TRUE") -> Column:
+    """Units sold in a window, from known warehouses."""
+    return sum_where(f"at_known_place AND {condition}", f"sold_{days}").alias(name)
 
 
 def channel_sums(cfg: ReportConfig, days: int) -> list[Column]:
     """Hub sales; sales without export types; the same without the hub."""
-    hub = in_texts(F.col("warehouse"), cfg.hub.warehouses)
+    hub = f"at_{cfg.hub.name}"
     return [
         sold_sum(days, "hub_sales", hub),
-        sold_sum(days, "store_sales", ~is_export_sale(cfg)),
-        sold_sum(days, "non_hub_sales", ~is_export_sale(cfg) & ~hub),
+        sold_sum(days, "store_sales", "NOT exported"),
+        sold_sum(days, "non_hub_sales", f"NOT exported AND NOT {hub}"),
     ]
 
 
-def moved_sum(name: str, condition: Column | None = None) -> Column:
-    value = F.col("moved")
-    return (F.sum(value) if condition is None else sum_where(condition, value)).alias(name)
-
-
 def transfer_sums(cfg: ReportConfig, site: Site) -> list[Column]:
-    """Units on the way from a site to own stores, and from anywhere to the hub."""
-    to_own = in_texts(F.col("destination"), cfg.own.warehouses)
-    to_hub = in_texts(F.col("destination"), cfg.hub.warehouses)
-    from_site = in_texts(F.col("warehouse"), site.warehouses)
+    """Units on the way: all, from a site to own stores, and from anywhere to the hub."""
     return [
-        moved_sum("to_store_transfers", from_site & to_own),
-        moved_sum("to_hub_transfers", to_hub),
+        F.sum("moved").alias("transfers"),
+        sum_where(f"at_{site.name} AND to_{cfg.own.name}", "moved").alias("to_store_transfers"),
+        sum_where(f"to_{cfg.hub.name}", "moved").alias("to_hub_transfers"),
     ]
 
 
@@ -189,11 +198,7 @@ def by_item_code(named: DataFrame, t: Tables, sums: list[Column]) -> DataFrame:
     measures = [c for c in per_item.columns if c != "item_id"]
     return joined.groupBy("key").agg(
         *[
-            (
-                sum_where(F.col("known_maker"), F.col(c))
-                if c.startswith(SALES_COLUMNS)
-                else F.sum(c)
-            ).alias(c)
+            (sum_where("known_maker", c) if c.startswith(SALES_COLUMNS) else F.sum(c)).alias(c)
             for c in measures
         ]
     )
@@ -207,11 +212,13 @@ def weighted_price(site: Site) -> Column:
 # ---- stand-alone results ----------------------------------------------------------------------
 
 
-def expected_arrivals(t: Tables, cfg: ReportConfig, as_of: date, sites: Iterable[Site]):
+def expected_arrivals(
+    t: Tables, cfg: ReportConfig, as_of: date, sites: Iterable[Site]
+) -> DataFrame:
     """Per item code and site: units to arrive and their weighted price."""
     sites = list(sites)
     named = named_movements(item_movements(t, cfg, as_of), t, cfg)
-    sums = by_item_code(named, t, arrival_sums(cfg, sites))
+    sums = by_item_code(named, t, arrival_sums(sites))
     kept = reduce(lambda a, b: a | b, [F.col(f"{s.name}_arrivals").isNotNull() for s in sites])
     return sums.filter(kept).select(
         "key",
@@ -226,9 +233,12 @@ def expected_arrivals(t: Tables, cfg: ReportConfig, as_of: date, sites: Iterable
     )
 
 
-def virtual_arrivals(t: Tables, cfg: ReportConfig, as_of: date, suppliers: Iterable[str]):
+def virtual_arrivals(
+    t: Tables, cfg: ReportConfig, as_of: date, via: Iterable[Site]
+) -> DataFrame:
+    """Per item code: units to arrive at own stores that already lie at the sites."""
     named = named_movements(item_movements(t, cfg, as_of), t, cfg)
-    sums = by_item_code(named, t, [virtual_sum(cfg, suppliers)])
+    sums = by_item_code(named, t, [virtual_sum(cfg, via)])
     return sums.filter(F.col("virtual_arrivals").isNotNull())
 
 
@@ -243,7 +253,8 @@ def recent_sales(
     days = list(days)
     moves = item_movements(t, cfg, as_of, purchases=False, sales_days=days)
     named = named_movements(moves, t, cfg)
-    condition = None if types is None else F.col("doc_type_id").isin(*types)
+    chosen = ", ".join(map(str, types or ()))
+    condition = "TRUE" if types is None else f"doc_type_id IN ({chosen})"
     sums = by_item_code(named, t, [sold_sum(n, f"sold_{n}", condition) for n in days])
     return sums.filter(F.col(f"sold_{max(days)}").isNotNull())
 
@@ -264,5 +275,4 @@ def transfers_in(
 ) -> DataFrame:
     """Units in open transfers per item code: all, site to own stores, any place to the hub."""
     moves = item_movements(t, cfg, as_of, purchases=False, transfer_types=types)
-    sums = [moved_sum("transfers"), *transfer_sums(cfg, site)]
-    return by_item_code(named_movements(moves, t, cfg), t, sums)
+    return by_item_code(named_movements(moves, t, cfg), t, transfer_sums(cfg, site))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.config import ReportConfig, Site
-from stocklens.functions.numbers import or_zero, sum_where
+from stocklens.functions.numbers import add_up, sum_where
 from stocklens.functions.text import text_key
 
 MEASURES = {
@@ -17,8 +17,8 @@ MEASURES = {
 }
 
 
-def _at(site: Site) -> Column:
-    return F.col("supplierid").isin(*site.stock_sources)
+def _at(site: Site) -> str:
+    return f"supplierid IN ({', '.join(map(str, site.stock_sources))})"
 
 
 def site_sums(cfg: ReportConfig) -> list[Column]:
@@ -27,24 +27,24 @@ def site_sums(cfg: ReportConfig) -> list[Column]:
     ``<site>_reserved`` reads the customer orders; ``<site>_deals_reserved`` the
     measure the deals report takes for that site.
     """
-    sites = (cfg.own, cfg.tql, cfg.dsv, cfg.dream_cargo, cfg.hub)
     sums = []
-    for s in sites:
+    for s in (cfg.own, cfg.tql, cfg.dsv, cfg.dream_cargo, cfg.hub):
         sums += [
-            sum_where(_at(s), F.col("unitsinstock")).alias(f"{s.name}_on_hand"),
-            sum_where(_at(s), F.col("customerorderunits")).alias(f"{s.name}_reserved"),
+            sum_where(_at(s), "unitsinstock").alias(f"{s.name}_on_hand"),
+            sum_where(_at(s), "customerorderunits").alias(f"{s.name}_reserved"),
         ]
         if s.deals_reserved != "customer_order_units":
-            measure = F.col(MEASURES[s.deals_reserved])
+            measure = MEASURES[s.deals_reserved]
             sums.append(sum_where(_at(s), measure).alias(f"{s.name}_deals_reserved"))
-    sums.append(sum_where(_at(cfg.incoming), F.col("unitsinstock")).alias("incoming"))
+    sums.append(sum_where(_at(cfg.incoming), "unitsinstock").alias("incoming"))
     sums.append(F.sum("customerorderunits").alias("all_reserved"))
     return sums
 
 
-def deals_reserved(site: Site) -> Column:
+def deals_reserved(site: Site) -> str:
+    """Column of the units reserved at a site, as the deals report counts them."""
     plain = site.deals_reserved == "customer_order_units"
-    return F.col(f"{site.name}_{'reserved' if plain else 'deals_reserved'}")
+    return f"{site.name}_{'reserved' if plain else 'deals_reserved'}"
 
 
 def stock_position(stock: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -63,27 +63,33 @@ PRODUCT, SUPPLIER_KEY, INCOMING_KEY, MOVES = "product", "supplier", "incoming",
 
 
 def stock_facts(stock: DataFrame, cfg: ReportConfig, kinds: Iterable[str]) -> DataFrame:
-    """Site sums by product id, by supplier's product id, and by the prefixed incoming key."""
+    """Site sums by product id, by supplier's product id, and by the prefixed incoming key.
+
+    The table is summed once per pair of ids; only those sums are spread over the keys.
+    """
+    pairs = stock.groupBy("productid", "supplierproductid").agg(*site_sums(cfg))
     source_key = text_key(F.col("supplierproductid"))
-    prefix = text_key(F.lit(cfg.incoming_key_prefix))
-    length = len(cfg.incoming_key_prefix)
-    is_prefixed = _at(cfg.incoming) & source_key.startswith(prefix)
+    start = len(cfg.incoming_key_prefix) + 1
+    prefixed = source_key.startswith(text_key(F.lit(cfg.incoming_key_prefix)))
     keys = {
         PRODUCT: F.col("productid").cast("string"),
         SUPPLIER_KEY: source_key,
-        INCOMING_KEY: F.when(is_prefixed, source_key.substr(F.lit(length + 1), F.length(source_key))),
+        INCOMING_KEY: F.when(
+            prefixed & F.col("incoming").isNotNull(),
+            source_key.substr(F.lit(start), F.length(source_key)),
+        ),
     }
-    pairs = F.array(
-        *[F.struct(F.lit(k).alias("kind"), keys[k].alias("key")) for k in kinds]
-    )
-    keyed = stock.select(
-        "supplierid",
-        "unitsinstock",
-        "customerorderunits",
-        "supplierorderunits",
-        F.inline(F.filter(pairs, lambda p: p["key"].isNotNull())),
+    measures = pairs.columns[2:]
+    keyed = pairs.select(*measures, _spread({k: keys[k] for k in kinds}))
+    keyed = keyed.filter(F.col("key").isNotNull())
+    return keyed.groupBy("kind", "key").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def _spread(keys: Mapping[str, Column]) -> Column:
+    """One row per kind of key, with columns ``kind`` and ``key``."""
+    return F.inline(
+        F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in keys.items()])
     )
-    return keyed.groupBy("kind", "key").agg(*site_sums(cfg))
 
 
 def movement_facts(by_code: DataFrame) -> DataFrame:
@@ -108,13 +114,13 @@ def facts_for_items(
             for role, (kind, key, _) in wanted.items()
         ]
     )
-    asked = items.select("item_id", F.inline(F.filter(asks, lambda a: a["key"].isNotNull())))
-    found = asked.join(facts.withColumn("hit", F.lit(True)), ["kind", "key"], "left")
-    answers = []
-    for role, (_, _, measures) in wanted.items():
-        mine = F.col("role") == role
-        answers.append(F.max(F.when(mine, F.col("hit"))).alias(f"{role}_found"))
-        answers += [F.max(F.when(mine, F.col(m))).alias(f"{role}_{m}") for m in measures]
+    asked = items.select("item_id", F.inline(asks)).filter(F.col("key").isNotNull())
+    found = asked.join(facts.withColumn("found", F.lit(True)), ["kind", "key"], "left")
+    answers = [
+        F.expr(f"max({m}) FILTER (WHERE role = '{role}')").alias(f"{role}_{m}")
+        for role, (_, _, measures) in wanted.items()
+        for m in ("found", *measures)
+    ]
     return found.groupBy("item_id").agg(*answers)
 
 
@@ -126,8 +132,7 @@ def net_across_sites(cfg: ReportConfig, role: str) -> Column:
 
     A site without a row counts 0 once the product has any row.
     """
-    sites = (cfg.own, cfg.hub, cfg.dsv, cfg.tql, cfg.dream_cargo)
-    found = F.col(f"{role}_found")
-    on_hand = sum((or_zero(F.col(f"{role}_{s.name}_on_hand")) for s in sites), F.lit(0.0))
-    reserved = sum((or_zero(F.col(f"{role}_{s.name}_reserved")) for s in sites), F.lit(0.0))
-    return F.when(found, on_hand + F.col(f"{role}_incoming") - reserved)
+    sites = [s.name for s in (cfg.own, cfg.hub, cfg.dsv, cfg.tql, cfg.dream_cargo)]
+    on_hand = add_up(f"{role}_{s}_on_hand" for s in sites)
+    reserved = add_up(f"{role}_{s}_reserved" for s in sites)
+    return F.when(F.col(f"{role}_found"), on_hand + F.col(f"{role}_incoming") - reserved)

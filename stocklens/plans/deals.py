@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.config import ReportConfig
-from stocklens.functions.numbers import or_zero, to_decimal, to_int
+from stocklens.functions.numbers import add_up, or_zero, to_decimal, to_int
 from stocklens.functions.text import in_texts, matches_any, text_key
 from stocklens.operators.costs import (
     arrival_quantity,
@@ -20,9 +20,7 @@ from stocklens.operators.costs import (
 from stocklens.operators.movements import (
     arrival_sums,
     by_item_code,
-    is_export_sale,
     item_movements,
-    moved_sum,
     named_movements,
     sold_sum,
     virtual_sum,
@@ -74,12 +72,12 @@ def deal_items(t: Tables, cfg: ReportConfig, as_of: date, moves: DataFrame) -> D
     items = report_items(t, cfg, categories)
 
     sums = [
-        *arrival_sums(cfg, cfg.deals_sites),
-        virtual_sum(cfg, cfg.virtual_suppliers),
+        *arrival_sums(cfg.deals_sites),
+        virtual_sum(cfg, (cfg.dsv, cfg.tql)),
         sold_sum(90, "sold_90"),
-        sold_sum(90, "sold_90_export", is_export_sale(cfg)),
+        sold_sum(90, "sold_90_export", "exported"),
         sold_sum(30, "sold_30"),
-        moved_sum("transfers"),
+        F.sum("moved").alias("transfers"),
     ]
     by_code = by_item_code(named_movements(moves, t, cfg), t, sums)
     stock = stock_facts(t.stock, cfg, (PRODUCT, SUPPLIER_KEY, INCOMING_KEY))
@@ -87,7 +85,7 @@ def deal_items(t: Tables, cfg: ReportConfig, as_of: date, moves: DataFrame) -> D
 
     sites = cfg.deals_sites
     on_hand = [f"{s.name}_on_hand" for s in sites]
-    reserved = [_reserved_name(s) for s in sites]
+    reserved = [deals_reserved(s) for s in sites]
     arrivals = [f"{s.name}_{m}" for s in sites for m in ("arrivals", "arrivals_value")]
     wanted = {
         "own": (PRODUCT, own_key(), [*on_hand, *reserved, "incoming"]),
@@ -104,22 +102,15 @@ def deal_items(t: Tables, cfg: ReportConfig, as_of: date, moves: DataFrame) -> D
     )
 
 
-def _reserved_name(site) -> str:
-    plain = site.deals_reserved == "customer_order_units"
-    return f"{site.name}_{'reserved' if plain else 'deals_reserved'}"
-
-
 # ---- measures ---------------------------------------------------------------------------------
 
 
 def ready_stock(cfg: ReportConfig) -> Column:
-    terms = (or_zero(F.col(f"own_{s.name}_on_hand")) for s in cfg.deals_sites)
-    return sum(terms, F.lit(0.0))
+    return add_up(f"own_{s.name}_on_hand" for s in cfg.deals_sites)
 
 
 def reserved_stock(cfg: ReportConfig) -> Column:
-    terms = (or_zero(F.col(f"own_{_reserved_name(s)}")) for s in cfg.deals_sites)
-    return sum(terms, F.lit(0.0))
+    return add_up(f"own_{deals_reserved(s)}" for s in cfg.deals_sites)
 
 
 def incoming() -> Column:

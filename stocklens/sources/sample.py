@@ -78,60 +78,75 @@ SAMPLE_CONFIG = ReportConfig(
 )
 
 
+# Columns of the sample files that the views use.
+COLUMNS = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz",
+}
+
+
 def read(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
+    """A sample file, with its columns declared: no job is spent on finding them out."""
+    return spark.read.schema(COLUMNS[name]).parquet(os.path.join(directory, f"{name}.parquet"))
 
 
 def sample_tables(spark: SparkSession, directory: str) -> Tables:
-    """All report tables over the sample directory."""
-    orders, lineitem, part = (read(spark, directory, n) for n in ("orders", "lineitem", "part"))
-    supplier, customer = (read(spark, directory, n) for n in ("supplier", "customer"))
-    nation, region = (read(spark, directory, n) for n in ("nation", "region"))
-    partners = _partners(supplier, customer)
-    return Tables(
-        documents=_documents(orders),
-        document_stock=orders.select(
-            F.col("o_orderkey").alias("findoc"),
-            F.lit(None).cast("bigint").alias("whouse"),
-            (F.col("o_custkey") * 2 + 1).alias("whousesec"),
-        ),
-        lines=_lines(lineitem),
-        items=_items(part),
-        partners=partners,
-        partner_extra=partners.select("trdr", F.lit(13).alias("sodtype")),
-        categories=_named(spark, "mtrcategory", {c: c for c in CATEGORIES}).withColumn(
-            "sodtype", F.lit(ITEM_KIND)
-        ),
-        makers=_named(
-            spark, "mtrmanfctr", {f"Brand#{i}": f"Brand#{i}" for i in range(1, MAKERS + 1)}
-        ),
-        warehouses=_warehouses(supplier, customer, nation, region),
-        branches=customer.select(
-            F.col("c_custkey").alias("branch"),
-            F.col("c_mktsegment").alias("name"),
-            F.lit(COMPANY).alias("company"),
+    """The report tables over the sample directory."""
+
+    def source(name: str) -> DataFrame:
+        return read(spark, directory, name)
+
+    def small(key: str, names: dict) -> DataFrame:
+        return _named(spark, key, names)
+
+    views = {
+        "documents": lambda: _documents(source("orders")),
+        "document_stock": lambda: _document_stock(source("orders")),
+        "lines": lambda: _lines(source("lineitem")),
+        "items": lambda: _items(source("part")),
+        "partners": lambda: _partners(source("supplier"), source("customer")),
+        "partner_extra": lambda: _partner_extra(source("supplier"), source("customer")),
+        "categories": lambda: small("mtrcategory", {c: c for c in CATEGORIES}),
+        "makers": lambda: small(
+            "mtrmanfctr", {f"Brand#{i}": f"Brand#{i}" for i in range(1, MAKERS + 1)}
         ),
-        doc_types=_named(spark, "fprms", dict(enumerate(DOC_TYPES, 1))),
-        periods=_named(spark, "period", {m: f"Month {m}" for m in range(1, 13)}),
-        countries=nation.select(
-            F.col("n_nationkey").alias("country"), F.col("n_name").alias("name")
+        "warehouses": lambda: _warehouses(
+            source("supplier"), source("customer"), source("nation"), source("region")
         ),
-        states=_named(spark, "finstates", STATES),
-        item_costs=_item_costs(orders, lineitem),
-        item_month=_item_month(orders, lineitem),
-        item_year=_item_year(orders, lineitem),
-        stock=_stock(lineitem),
-        products=part.select(
-            F.col("p_partkey").alias("productid"), F.col("p_retailprice").alias("pricetosell")
-        ),
-    )
+        "branches": lambda: _branches(source("customer")),
+        "doc_types": lambda: small("fprms", dict(enumerate(DOC_TYPES, 1))),
+        "periods": lambda: small("period", {m: f"Month {m}" for m in range(1, 13)}),
+        "countries": lambda: _countries(source("nation")),
+        "states": lambda: small("finstates", STATES),
+        "item_costs": lambda: _item_costs(source("orders"), source("lineitem")),
+        "item_month": lambda: _item_month(source("orders"), source("lineitem")),
+        "item_year": lambda: _item_year(source("orders"), source("lineitem")),
+        "stock": lambda: _stock(source("lineitem")),
+        "products": lambda: _products(source("part")),
+    }
+    return Tables(lambda name: views[name]())
 
 
 def _named(spark: SparkSession, key: str, names: dict) -> DataFrame:
     """A small dimension of the company, all active."""
-    rows = ", ".join(f"({k!r}, {v!r})" for k, v in names.items())
-    dim = spark.sql(f"SELECT * FROM VALUES {rows} AS dim({key}, name)")
-    return dim.withColumns({"company": F.lit(COMPANY), "isactive": F.lit(1)})
+    rows = ", ".join(f"({k!r}, {v!r}, {COMPANY}, 1, {ITEM_KIND})" for k, v in names.items())
+    columns = f"{key}, name, company, isactive, sodtype"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS dim({columns})")
 
 
 def _source():
@@ -167,6 +182,14 @@ def _documents(orders: DataFrame) -> DataFrame:
     )
 
 
+def _document_stock(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_orderkey").alias("findoc"),
+        F.lit(None).cast("bigint").alias("whouse"),
+        (F.col("o_custkey") * 2 + 1).alias("whousesec"),
+    )
+
+
 def _lines(lineitem: DataFrame) -> DataFrame:
     c = F.col
     quantity, value, flag = c("l_quantity"), c("l_extendedprice"), c("l_returnflag")
@@ -210,11 +233,15 @@ def _items(part: DataFrame) -> DataFrame:
     )
 
 
+def _partner_ids(key: str, odd: int):
+    return (F.col(key) * 2 + odd).alias("trdr")
+
+
 def _partners(supplier: DataFrame, customer: DataFrame) -> DataFrame:
     def view(df: DataFrame, p: str, key: str, odd: int) -> DataFrame:
         nation = F.col(f"{p}_nationkey")
         return df.select(
-            (F.col(key) * 2 + odd).alias("trdr"),
+            _partner_ids(key, odd),
             F.col(key).cast("string").alias("code"),
             F.col(f"{p}_name").alias("name"),
             F.when(nation % 2 == 0, 113).otherwise(100).alias("socurrency"),
@@ -224,6 +251,31 @@ def _partners(supplier: DataFrame, customer: DataFrame) -> DataFrame:
     return view(supplier, "s", "s_suppkey", 0).unionByName(view(customer, "c", "c_custkey", 1))
 
 
+def _partner_extra(supplier: DataFrame, customer: DataFrame) -> DataFrame:
+    ids = supplier.select(_partner_ids("s_suppkey", 0)).unionByName(
+        customer.select(_partner_ids("c_custkey", 1))
+    )
+    return ids.withColumn("sodtype", F.lit(13))
+
+
+def _branches(customer: DataFrame) -> DataFrame:
+    return customer.select(
+        F.col("c_custkey").alias("branch"),
+        F.col("c_mktsegment").alias("name"),
+        F.lit(COMPANY).alias("company"),
+    )
+
+
+def _countries(nation: DataFrame) -> DataFrame:
+    return nation.select(F.col("n_nationkey").alias("country"), F.col("n_name").alias("name"))
+
+
+def _products(part: DataFrame) -> DataFrame:
+    return part.select(
+        F.col("p_partkey").alias("productid"), F.col("p_retailprice").alias("pricetosell")
+    )
+
+
 def _warehouses(
     supplier: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame
 ) -> DataFrame:

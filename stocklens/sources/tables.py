@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,40 +55,24 @@ SCHEMAS: dict[str, str] = {
 SHOP_TABLES = ("stock", "products")
 
 
-@dataclass(frozen=True)
 class Tables:
-    """One DataFrame per table, with the columns of :data:`SCHEMAS`."""
-
-    documents: DataFrame
-    document_stock: DataFrame
-    lines: DataFrame
-    items: DataFrame
-    partners: DataFrame
-    partner_extra: DataFrame
-    categories: DataFrame
-    makers: DataFrame
-    warehouses: DataFrame
-    branches: DataFrame
-    doc_types: DataFrame
-    periods: DataFrame
-    countries: DataFrame
-    states: DataFrame
-    item_costs: DataFrame
-    item_month: DataFrame
-    item_year: DataFrame
-    stock: DataFrame
-    products: DataFrame
+    """The tables by name, each with the columns of :data:`SCHEMAS`; read when first asked for."""
+
+    def __init__(self, reader: Callable[[str], DataFrame]):
+        self._reader = reader
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        table = self._reader(name)
+        setattr(self, name, table)
+        return table
 
 
 def load_tables(spark: SparkSession, erp_dir: str, shop_dir: str | None = None) -> Tables:
-    """Every table from Parquet; the shop's tables may live in a directory of their own."""
+    """Tables from Parquet; the shop's tables may live in a directory of their own."""
     shop = shop_dir or erp_dir
-    return Tables(
-        **{
-            f.name: load(spark, shop if f.name in SHOP_TABLES else erp_dir, f.name)
-            for f in fields(Tables)
-        }
-    )
+    return Tables(lambda name: load(spark, shop if name in SHOP_TABLES else erp_dir, name))
 
 
 def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -98,17 +81,13 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def load_catalog(spark: SparkSession, erp: str, shop: str | None = None) -> Tables:
-    """Every table from the catalog.
+    """Tables from the catalog.
 
     Header, stock side and lines saved with ``bucketBy(n, "findoc")`` join
     without a shuffle; nothing else changes.
     """
-    return Tables(
-        **{
-            f.name: spark.table(f"{(shop or erp) if f.name in SHOP_TABLES else erp}.{f.name}")
-            for f in fields(Tables)
-        }
-    )
+    schemas = {name: (shop or erp) if name in SHOP_TABLES else erp for name in SCHEMAS}
+    return Tables(lambda name: spark.table(f"{schemas[name]}.{name}"))
 
 
 def load_jdbc(
