@@ -15,6 +15,8 @@ def local_session(cpus: int | str = 8, memory: str = "12g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # plans are built from many expressions; skip recording a call site for each
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", memory))
         .getOrCreate()
     )
