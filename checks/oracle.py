@@ -125,7 +125,7 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["scan_documents"] = query(
     "",
-    """SELECT findoc, 1251 AS sosource, kind AS fprms, month(d) AS period, d AS trndate,
+    """SELECT findoc, 1251 AS sosource, kind AS fprms, CAST(month(d) AS INTEGER) AS period, d AS trndate,
               o_totalprice AS sumamnt
        FROM docs WHERE state = 'O'""",
 )
@@ -770,14 +770,14 @@ ORACLE["export_report"] = query(EXPORT_STEPS, EXPORT_SELECT)
 def retail(year: int) -> str:
     steps = f"""
     bought AS (
-      SELECT *, quarter(d) AS qu FROM dl
+      SELECT *, CAST(quarter(d) AS INTEGER) AS qu FROM dl
       WHERE state = 'O' AND kind IN (1, 2, 3, 4) AND category NOT ILIKE 'PROMO%'
         AND year(d) = {year} AND qty >= 1
     ),
     totals AS (SELECT category AS cat, qu AS tq, sum(qty) AS total FROM bought GROUP BY 1, 2)"""
     return query(
         steps,
-        f"""SELECT year(d) AS year, qu AS quarter, c_mktsegment AS branch, category,
+        f"""SELECT CAST(year(d) AS INTEGER) AS year, qu AS quarter, c_mktsegment AS branch, category,
                CAST(s_suppkey AS VARCHAR) AS supplier_code, s_name AS supplier,
                sum(qty) AS quantity, {money("sum(val)", 2)} AS value,
                {dec("sum(qty) / total * 100", 10, 2)} AS share_pct, total AS category_quantity

@@ -120,10 +120,9 @@ def staged_purchases(t):
 
 @over_directory
 def sink_full_refresh(spark, directory):
-    path = scratch_dir(spark)
-    report = retail(sample_tables(spark, directory))
-    write_full(report.limit(0), path)
-    write_full(report, path)
+    t, path = sample_tables(spark, directory), scratch_dir(spark)
+    for year in (YEAR - 1, YEAR):
+        write_full(retail(t, year), path)
     return spark.read.parquet(path)
 
 

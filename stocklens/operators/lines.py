@@ -55,11 +55,14 @@ def document_lines(
     )
     if destination or (warehouse and not cfg.warehouse_on_line):
         side = t.document_stock.select(
-            d("findoc").alias("doc_id"),
+            d("findoc").alias("side_id"),
             d("whouse").alias("doc_warehouse_id"),
             d("whousesec").alias("destination_id"),
         )
-        docs = docs.join(side, "doc_id", "left")
+        docs = docs.join(side, d("doc_id") == d("side_id"), "left")
+        # A computed key: headers are then exchanged once more before they meet the lines.
+        # Only a join of two exchanges can be split at run time, and a document may be hot.
+        docs = docs.withColumn("doc_id", F.coalesce("side_id", "doc_id")).drop("side_id")
 
     columns = {
         "findoc": "doc_id",

@@ -6,12 +6,18 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import CFG, QUERIES
+from stocklens.config import ReportConfig
+from stocklens.operators import lines as L
 from stocklens.operators import movements as M
 from stocklens.operators.stock import PRODUCT, SUPPLIER_KEY, stock_facts, stock_position
 from stocklens.plans import transfers as T
 from stocklens.sources.sample import AS_OF, sample_tables
+from stocklens.sources.tables import SCHEMAS, Tables
+from tests.erp import AS_OF as ERP_AS_OF
+from tests.erp import Erp, day
 
 DIRECTORY = "/root/testdata/sf0.001"
 
@@ -81,3 +87,96 @@ def test_scans_are_pruned_and_filtered(spark, t):
 def test_sums_are_taken_before_the_shuffle(t):
     text = plan(stock_position(t.stock, CFG))
     assert "partial_sum" in text and text.count("Exchange") == 1
+
+
+# ---- hot keys ---------------------------------------------------------------------------------
+
+LINES = 200_000
+
+
+def hot_company(spark, hot_document: bool) -> Tables:
+    """Sales of which one document, or one item, holds a third of all lines.
+
+    The last of the ``LINES + 1`` lines has a document and an item of its own that do not exist.
+    """
+    erp = Erp()
+    erp.category(1, "Laptops")
+    small = erp.tables(spark)
+    n = F.col("id")
+    hot = n % 3 == 0
+    mostly = F.when(hot, -1).otherwise(n)
+    doc, item = (mostly, n) if hot_document else (n, mostly)
+
+    def column(name, sql_type, values):
+        return values.get(name, F.lit(None)).cast(sql_type).alias(name)
+
+    def frame(table, **values):
+        fields = [f.strip().split(" ") for f in SCHEMAS[table].split(",")]
+        return spark.range(LINES + 1).select(*[column(f[0], f[1], values) for f in fields])
+
+    lit = F.lit
+    documents = frame(
+        "documents",
+        findoc=n - 1,
+        company=lit(1000),
+        sosource=lit(1351),
+        soredir=lit(0),
+        sodtype=lit(13),
+        fprms=lit(7061),
+        trndate=lit(day(1)),
+        trdr=n,
+    )
+    tables = {
+        "documents": documents,
+        "document_stock": frame("document_stock", findoc=n - 1, whouse=lit(1000)),
+        "lines": frame("lines", findoc=doc, company=lit(1000), mtrl=item, qty1=lit(1.0)),
+        "items": frame(
+            "items", mtrl=n - 1, company=lit(1000), code=n - 1, mtrmanfctr=lit(1)
+        ),
+        "partners": frame("partners", trdr=n, name=n),
+    }
+    return Tables(lambda name: tables.get(name, getattr(small, name)))
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which a small test has skewed partitions and no broadcast of large sides."""
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.autoBroadcastJoinThreshold": "100KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def run_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df)
+
+
+def test_a_hot_document_is_split(spark, small_partitions):
+    t = hot_company(spark, hot_document=True)
+    moves = M.item_movements(t, ReportConfig(), ERP_AS_OF, purchases=False, sales_days=[30])
+    total = moves.agg(F.sum("sold_30").alias("sold"))
+    assert "skew=true" in run_plan(total)
+    assert total.collect()[0]["sold"] == LINES
+
+
+def test_a_hot_item_is_split(spark, small_partitions):
+    t = hot_company(spark, hot_document=False)
+    lines = L.document_lines(t, ReportConfig(), F.lit(True))
+    named = L.with_partner(L.with_item(lines, t), t).agg(F.count("item_code").alias("named"))
+    assert "skew=true" in run_plan(named)
+    assert named.collect()[0]["named"] == LINES
