@@ -41,24 +41,36 @@ def named_suppliers(
     return named.join(items, "item_id", "inner").select("item_id", "description", "supplier")
 
 
-def supplier_list(pairs: DataFrame) -> DataFrame:
-    """Per item: the suppliers of all items with its description, as one comma list.
-
-    ``pairs`` comes from :func:`item_suppliers`. Items without a description, and
-    descriptions without a named supplier, have a NULL list. Names are made
-    distinct before they are gathered, so a group holds each name once.
+def with_suppliers(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Add to rows with an ``item_id`` the suppliers of all items with its description.
+
+    ``pairs`` comes from :func:`item_suppliers`. The list is NULL for items that
+    are not among the pairs, for items without a description, and where no supplier
+    has a name. Rows meet their description first and its list last: the lists,
+    one per description, may be long, and are not carried once per item through
+    a shuffle.
     """
     keyed = pairs.withColumn("description_key", text_key(F.col("description")))
+    items = keyed.select("item_id", "description_key").distinct()
+    found = rows.join(items, "item_id", "left")
+    return found.join(_lists(keyed), "description_key", "left").drop("description_key")
+
+
+def supplier_list(pairs: DataFrame) -> DataFrame:
+    """Every item among the pairs with its list of suppliers."""
+    return with_suppliers(pairs.select("item_id").distinct(), pairs)
+
+
+def _lists(keyed: DataFrame) -> DataFrame:
+    """One comma list per description. Names are made distinct before they are gathered."""
     names = (
         keyed.filter(F.col("description_key").isNotNull() & F.col("supplier").isNotNull())
         .groupBy("description_key", text_key(F.col("supplier")).alias("supplier_key"))
         .agg(F.min("supplier").alias("supplier"))
     )
-    lists = names.groupBy("description_key").agg(
+    return names.groupBy("description_key").agg(
         F.array_join(F.array_sort(F.collect_list("supplier")), ", ").alias("suppliers")
     )
-    items = keyed.select("item_id", "description_key").distinct()
-    return items.join(lists, "description_key", "left").select("item_id", "suppliers")
 
 
 def list_width(df: DataFrame, column: str = "suppliers") -> DataFrame:

@@ -35,7 +35,7 @@ from stocklens.operators.stock import (
     movement_facts,
     stock_facts,
 )
-from stocklens.operators.suppliers import named_suppliers, supplier_list
+from stocklens.operators.suppliers import named_suppliers, with_suppliers
 from stocklens.plans.items import category_dimension, own_key, related_key, report_items
 from stocklens.sources.tables import Tables, stage
 
@@ -273,11 +273,13 @@ def deal_detail(main: DataFrame, cfg: ReportConfig) -> DataFrame:
     return kept.select("item_id", *[computed.get(c, F.col(c)).alias(c) for c in names])
 
 
-def with_suppliers(rows: DataFrame, t: Tables, cfg: ReportConfig, moves: DataFrame) -> DataFrame:
+def with_supplier_lists(
+    rows: DataFrame, t: Tables, cfg: ReportConfig, moves: DataFrame
+) -> DataFrame:
     """Add the list of suppliers, '' where there is none."""
     bought = moves.filter(F.col("source") == cfg.purchase_source)
     pairs = named_suppliers(bought, t, exclude=cfg.logistics_companies)
-    listed = rows.join(supplier_list(pairs), "item_id", "left")
+    listed = with_suppliers(rows, pairs)
     return listed.withColumn("suppliers", F.coalesce("suppliers", F.lit("")))
 
 
@@ -348,7 +350,7 @@ def deal_report(
     moves = stage(deal_movements(t, cfg, as_of))
     main = stage(deal_main(t, cfg, as_of, moves, cost_mode))
     detail = deal_detail(main, cfg)
-    rows = deal_rows(main, with_suppliers(detail, t, cfg, moves), cfg, fix_header)
+    rows = deal_rows(main, with_supplier_lists(detail, t, cfg, moves), cfg, fix_header)
     return rows.orderBy(
         "block",
         "rank",
