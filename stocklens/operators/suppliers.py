@@ -62,15 +62,19 @@ def supplier_list(pairs: DataFrame) -> DataFrame:
 
 
 def _lists(keyed: DataFrame) -> DataFrame:
-    """One comma list per description. Names are made distinct before they are gathered."""
+    """One comma list per description, NULL when none of its suppliers has a name.
+
+    Names are made distinct before they are gathered; gathering skips NULL. A filter
+    on the name would reach below the distinct pairs, whose exchange is then no longer
+    the one the caller's other use of the pairs has, and the lines be read twice.
+    """
     names = (
-        keyed.filter(F.col("description_key").isNotNull() & F.col("supplier").isNotNull())
+        keyed.filter(F.col("description_key").isNotNull())
         .groupBy("description_key", text_key(F.col("supplier")).alias("supplier_key"))
         .agg(F.min("supplier").alias("supplier"))
     )
-    return names.groupBy("description_key").agg(
-        F.array_join(F.array_sort(F.collect_list("supplier")), ", ").alias("suppliers")
-    )
+    listed = F.array_join(F.array_sort(F.collect_list("supplier")), ", ")
+    return names.groupBy("description_key").agg(F.nullif(listed, F.lit("")).alias("suppliers"))
 
 
 def list_width(df: DataFrame, column: str = "suppliers") -> DataFrame:

@@ -13,6 +13,7 @@ from stocklens.config import ReportConfig
 from stocklens.operators import lines as L
 from stocklens.operators import movements as M
 from stocklens.operators.stock import PRODUCT, SUPPLIER_KEY, stock_facts, stock_position
+from stocklens.operators.suppliers import item_suppliers, supplier_list
 from stocklens.plans import transfers as T
 from stocklens.sources.sample import AS_OF, sample_tables
 from stocklens.sources.tables import SCHEMAS, Tables
@@ -76,6 +77,15 @@ def test_transfer_report_reads_lines_three_times(t):
     assert scans(text, "lineitem") == 3
 
 
+@pytest.mark.parametrize("exclude", [(), CFG.logistics_companies])
+def test_supplier_lists_read_purchases_once(t, exclude):
+    """The distinct pairs are used three times and exchanged once."""
+    df = supplier_list(item_suppliers(t, CFG, exclude=exclude))
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert scans(final, "lineitem") == 1 and "ReusedExchange" in final
+
+
 def test_scans_are_pruned_and_filtered(spark, t):
     text = plan(QUERIES["export_invoice_lines"](spark, DIRECTORY))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
