@@ -833,3 +833,19 @@ ORACLE["normalised_keys"] = """
 
 ORACLE["coerce_integers"] = """
     SELECT p_partkey, CASE WHEN p_partkey % 6 IN (0, 1, 5) THEN p_partkey END AS raw FROM part"""
+
+ORACLE["deal_export"] = query(
+    f"{DEAL_STEPS},\n{DEAL_LISTS},\n{NEXT_RUN}",
+    f"""SELECT r.* EXCLUDE (block, rank, is_detail),
+               CASE WHEN code IS NOT NULL AND prev IS NULL THEN 'NEW' END AS status,
+               {money("coalesce(new_price, last_price)", 2)} AS last_price,
+               CAST(NULL AS DOUBLE) AS new_price
+        FROM ({DEAL_REPORT}) r LEFT JOIN previous_rows ON CAST(prev AS VARCHAR) = code""",
+)
+
+ORACLE["labelled_retail_report"] = f"""
+    SELECT year AS "Έτος", quarter AS "Τρίμηνο", branch AS "Υποκ/μα",
+           category AS "Εμπορ.κατηγορία", supplier_code AS "Κωδικός", supplier AS "Προμηθευτής",
+           quantity AS "Συνολική Ποσότητα", value AS "Συνολική Αξία", share_pct AS "Ποσοστό %",
+           category_quantity AS "Σύνολο Αγορασθέντων"
+    FROM ({retail(YEAR)})"""

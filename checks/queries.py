@@ -38,6 +38,7 @@ from stocklens.plans.items import (
     report_items,
     with_item_year,
 )
+from stocklens.plans.labels import RETAIL_LABELS, labelled
 from stocklens.plans.retail import retail_category_share
 from stocklens.plans.transfers import (
     items_seen_at,
@@ -530,6 +531,12 @@ def deal_report(t):
     return rows.drop("last_price", "new_price", "status")
 
 
+@over_directory
+def deal_export(spark, directory):
+    t, prev = sample_tables(spark, directory), previous_export(spark, directory)
+    return money(D.deal_export(t, CFG, AS_OF, prev), "last_price", digits=2)
+
+
 # ---- export and retail ------------------------------------------------------------------------
 
 
@@ -552,6 +559,11 @@ def retail_of_the_year(t):
     return retail(t)
 
 
+@over_tables
+def labelled_retail_report(t):
+    return labelled(retail(t), RETAIL_LABELS)
+
+
 # ---- from one run to the next -----------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Stock and sales reporting for trading companies on Spark."""
 
 from stocklens.config import ReportConfig, Site
-from stocklens.plans.deals import deal_report
+from stocklens.plans.deals import deal_export, deal_report
 from stocklens.plans.export import export_report
 from stocklens.plans.retail import retail_category_share
 from stocklens.plans.transfers import transfer_suggestions
@@ -11,6 +11,7 @@ __all__ = [
     "ReportConfig",
     "Site",
     "Tables",
+    "deal_export",
     "deal_report",
     "export_report",
     "load_catalog",

@@ -25,6 +25,7 @@ from stocklens.operators.movements import (
     sold_sum,
     virtual_sum,
 )
+from stocklens.operators.snapshots import carry_forward_overrides, new_items
 from stocklens.operators.stock import (
     INCOMING_KEY,
     MOVES,
@@ -339,18 +340,23 @@ def deal_rows(
     return rows.withColumn("rank", priority_rank(cfg))
 
 
-def deal_report(
+def unordered_deal_report(
     t: Tables, cfg: ReportConfig, as_of: date, cost_mode: str = "sum", fix_header: bool = False
 ) -> DataFrame:
-    """The report in its output order.
+    """Rows of the report with their sort keys.
 
     Movements and qualifying items are staged: both are read more than once and
     are far smaller than the lines they come from.
     """
     moves = stage(deal_movements(t, cfg, as_of))
     main = stage(deal_main(t, cfg, as_of, moves, cost_mode))
-    detail = deal_detail(main, cfg)
-    rows = deal_rows(main, with_supplier_lists(detail, t, cfg, moves), cfg, fix_header)
+    listed = with_supplier_lists(deal_detail(main, cfg), t, cfg, moves)
+    rows = deal_rows(main, listed, cfg, fix_header)
+    return rows.select(*DETAIL_COLUMNS, "block", "rank", "is_detail")
+
+
+def in_report_order(rows: DataFrame) -> DataFrame:
+    """Blocks, categories, header before details, most stock first."""
     return rows.orderBy(
         "block",
         "rank",
@@ -359,4 +365,20 @@ def deal_report(
         F.desc("final_stock"),
         text_key(F.col("description")),
         "code",
-    ).select(*DETAIL_COLUMNS, "block", "rank", "is_detail")
+    )
+
+
+def deal_report(
+    t: Tables, cfg: ReportConfig, as_of: date, cost_mode: str = "sum", fix_header: bool = False
+) -> DataFrame:
+    """The report in its output order."""
+    return in_report_order(unordered_deal_report(t, cfg, as_of, cost_mode, fix_header))
+
+
+def deal_export(
+    t: Tables, cfg: ReportConfig, as_of: date, previous: DataFrame, **options
+) -> DataFrame:
+    """The report with what it takes from the previous export: NEW flags and last prices."""
+    rows = unordered_deal_report(t, cfg, as_of, **options)
+    rows = carry_forward_overrides(new_items(rows, previous), previous)
+    return in_report_order(rows).select(*DETAIL_COLUMNS)

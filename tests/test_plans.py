@@ -15,7 +15,17 @@ from stocklens.operators import movements as M
 from stocklens.operators.stock import PRODUCT, SUPPLIER_KEY, stock_facts, stock_position
 from stocklens.operators.suppliers import item_suppliers, supplier_list
 from stocklens.plans import transfers as T
-from stocklens.sources.sample import AS_OF, sample_tables
+from stocklens.plans.deals import unordered_deal_report
+from stocklens.plans.export import export_report
+from stocklens.plans.labels import (
+    DEAL_LABELS,
+    EXPORT_LABELS,
+    RETAIL_LABELS,
+    labelled,
+    transfer_labels,
+)
+from stocklens.plans.retail import retail_category_share
+from stocklens.sources.sample import AS_OF, YEAR, sample_tables
 from stocklens.sources.tables import SCHEMAS, Tables
 from tests.erp import AS_OF as ERP_AS_OF
 from tests.erp import Erp, day
@@ -190,3 +200,16 @@ def test_a_hot_item_is_split(spark, small_partitions):
     named = L.with_partner(L.with_item(lines, t), t).agg(F.count("item_code").alias("named"))
     assert "skew=true" in run_plan(named)
     assert named.collect()[0]["named"] == LINES
+
+
+def test_every_report_column_has_a_heading(t):
+    reports = {
+        "deals": (unordered_deal_report(t, CFG, AS_OF), DEAL_LABELS, 27),
+        "transfers": (T.transfer_suggestions(t, CFG, CFG.dsv, AS_OF), transfer_labels(CFG.dsv), 23),
+        "export": (export_report(t, CFG, YEAR, AS_OF), EXPORT_LABELS, 33),
+        "retail": (retail_category_share(t, CFG, YEAR), RETAIL_LABELS, 10),
+    }
+    for df, labels, count in reports.values():
+        found = labelled(df, labels).columns
+        assert found == list(labels.values()) and len(set(found)) == count
+        assert set(df.columns) - set(labels) <= {"block", "rank", "is_detail"}
