@@ -86,7 +86,8 @@ arr AS (
   WHERE kind IN (1, 2, 3) AND open <> 0
 ),
 sale AS (
-  SELECT *, date_diff('day', d, {AS_OF}) AS age FROM dl WHERE state = 'F' AND kind IN (1, 2, 3, 4)
+  SELECT *, date_diff('day', d, {AS_OF}) AS age FROM dl
+  WHERE state = 'F' AND kind IN (1, 2, 3, 4)
 ),
 stk AS (
   SELECT l_partkey AS p, l_suppkey % 10 AS src,
@@ -125,7 +126,8 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["scan_documents"] = query(
     "",
-    """SELECT findoc, 1251 AS sosource, kind AS fprms, CAST(month(d) AS INTEGER) AS period, d AS trndate,
+    """SELECT findoc, 1251 AS sosource, kind AS fprms, CAST(month(d) AS INTEGER) AS period,
+              d AS trndate,
               o_totalprice AS sumamnt
        FROM docs WHERE state = 'O'""",
 )
@@ -225,7 +227,8 @@ EXPORT_FIELDS = f"""
     CASE WHEN c_currency <> 100 THEN price ELSE 0 END AS foreign_price"""
 EXPORT_INVOICES = f"""
     SELECT {EXPORT_FIELDS}, disc AS discount, val AS line_value, state, mtrl AS item_id
-    FROM dl WHERE state = 'F' AND kind IN (1, 2) AND year(d) = {YEAR} AND qty >= 1 AND val > 50000"""
+    FROM dl
+    WHERE state = 'F' AND kind IN (1, 2) AND year(d) = {YEAR} AND qty >= 1 AND val > 50000"""
 EXPORT_PENDING = f"""
     SELECT {EXPORT_FIELDS}, CAST({dec("disc", 10, 2)} AS DOUBLE) AS discount,
            val AS line_value, state, mtrl AS item_id
@@ -512,10 +515,10 @@ capped AS (
   FROM needs
 ),
 final AS (
-  SELECT *, CASE WHEN CAST(hub AS INTEGER) > site_h + {integer("site_arr")} - site_r - CAST(store AS INTEGER)
-                 THEN site_h + {integer("site_arr")} - site_r - CAST(store AS INTEGER)
+  SELECT *, CASE WHEN CAST(hub AS INTEGER) > left_over THEN left_over
                  ELSE CAST(CAST(hub AS INTEGER) AS DOUBLE) END AS hub_final
-  FROM capped
+  FROM (SELECT *, site_h + {integer("site_arr")} - site_r - CAST(store AS INTEGER) AS left_over
+        FROM capped)
 )"""
 
 
@@ -777,7 +780,8 @@ def retail(year: int) -> str:
     totals AS (SELECT category AS cat, qu AS tq, sum(qty) AS total FROM bought GROUP BY 1, 2)"""
     return query(
         steps,
-        f"""SELECT CAST(year(d) AS INTEGER) AS year, qu AS quarter, c_mktsegment AS branch, category,
+        f"""SELECT CAST(year(d) AS INTEGER) AS year, qu AS quarter, c_mktsegment AS branch,
+               category,
                CAST(s_suppkey AS VARCHAR) AS supplier_code, s_name AS supplier,
                sum(qty) AS quantity, {money("sum(val)", 2)} AS value,
                {dec("sum(qty) / total * 100", 10, 2)} AS share_pct, total AS category_quantity

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.dates import entry_clock
 from stocklens.functions.numbers import number_text, or_zero, to_decimal
-from stocklens.functions.text import matches_any, normalise_key, split_list, text_key
+from stocklens.functions.text import matches_any, normalise_key, same_text, split_list
 from stocklens.operators import lines as L
 from stocklens.operators import movements as M
 from stocklens.operators import snapshots as N
@@ -39,9 +39,10 @@ from stocklens.plans.items import (
     with_item_year,
 )
 from stocklens.plans.labels import RETAIL_LABELS, labelled
-from stocklens.plans.retail import retail_category_share
+from stocklens.plans.retail import ordered_retail_report, retail_category_share
 from stocklens.plans.transfers import (
     items_seen_at,
+    ordered_transfer_report,
     site_candidates,
     transfer_suggestions,
     with_suggestions,
@@ -262,7 +263,7 @@ def collated_key_join(spark, directory):
         F.concat(F.upper("p_name"), F.lit("  ")).alias("loud_name"),
         F.col("p_retailprice").alias("price"),
     )
-    joined = names.join(shouted, text_key(names["name"]) == text_key(shouted["loud_name"]))
+    joined = names.join(shouted, same_text(names["name"], shouted["loud_name"]))
     grouped = joined.groupBy("name").agg(
         F.count("*").alias("items"), F.max("price").alias("top_price")
     )
@@ -461,7 +462,7 @@ def transfers_dsv(t):
 
 @over_tables
 def transfer_suggestions_tql(t):
-    return transfer_suggestions(t, CFG, CFG.tql, AS_OF)
+    return ordered_transfer_report(t, CFG, CFG.tql, AS_OF)
 
 
 @over_tables
@@ -561,7 +562,8 @@ def retail_of_the_year(t):
 
 @over_tables
 def labelled_retail_report(t):
-    return labelled(retail(t), RETAIL_LABELS)
+    report = money(ordered_retail_report(t, CFG, YEAR), "value", digits=2)
+    return labelled(report, RETAIL_LABELS)
 
 
 # ---- from one run to the next -----------------------------------------------------------------
