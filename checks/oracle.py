@@ -15,8 +15,8 @@ def dec(x: str, precision: int, scale: int) -> str:
     return f"CAST(CAST({x} AS DECIMAL(38,10)) AS DECIMAL({precision},{scale}))"
 
 
-def integer(x: str) -> str:
-    return f"CAST(trunc({x}) AS INTEGER)"
+def whole(x: str) -> str:
+    return f"CAST(trunc({x}) AS BIGINT)"
 
 
 def money(x: str, digits: int = 4) -> str:
@@ -490,45 +490,45 @@ cand AS (
   WHERE a.id IN (SELECT seen_id FROM seen)
 ),
 kept AS (
-  SELECT *, {integer("site_h")} + {integer("site_arr")} - {integer("site_r")} AS avail,
+  SELECT *, {whole("site_h")} + {whole("site_arr")} - {whole("site_r")} AS avail,
          own_h + site_h2 + hub_h + other_h + own_arr + s_hub + s_all AS total,
          maker NOT IN ('Brand#1', 'Brand#2') AS allowed
-  FROM cand WHERE {integer("site_h")} + site_arr > 0
+  FROM cand WHERE {whole("site_h")} + site_arr > 0
 ),
 needs AS (
   SELECT *, CASE WHEN total = 0 AND allowed AND category IN ('SMALL', 'MEDIUM') THEN 20
                  WHEN total = 0 AND allowed THEN 5 ELSE 0 END AS base,
          greatest(CASE WHEN s_nonhub > 0 AND allowed
-           THEN {dec("1.5 * s_nonhub - (own_h + tr_store + own_arr - own_r)", 12, 2)}
+           THEN {dec("1.5 * s_nonhub - (own_h + tr_store + own_arr - own_r)", 18, 2)}
            ELSE 0 END, 0) AS store_need,
          greatest(CASE WHEN s_hub > 0 AND allowed
-           THEN {dec("s_hub - (hub_h + tr_hub + hub_arr - hub_r)", 12, 2)} ELSE 0 END, 0)
+           THEN {dec("s_hub - (hub_h + tr_hub + hub_arr - hub_r)", 18, 2)} ELSE 0 END, 0)
            AS hub_need
   FROM kept
 ),
 capped AS (
   SELECT *, CASE WHEN base > avail THEN greatest(avail, 0) ELSE base END AS minimum,
          CAST(round(CASE WHEN store_need > avail THEN greatest(avail, 0) ELSE store_need END, 0)
-              AS DECIMAL(12,0)) AS store,
+              AS DECIMAL(18,0)) AS store,
          CAST(round(CASE WHEN hub_need > avail THEN greatest(avail, 0) ELSE hub_need END, 0)
-              AS DECIMAL(12,0)) AS hub
+              AS DECIMAL(18,0)) AS hub
   FROM needs
 ),
 final AS (
-  SELECT *, CASE WHEN CAST(hub AS INTEGER) > left_over THEN left_over
-                 ELSE CAST(CAST(hub AS INTEGER) AS DOUBLE) END AS hub_final
-  FROM (SELECT *, site_h + {integer("site_arr")} - site_r - CAST(store AS INTEGER) AS left_over
+  SELECT *, CASE WHEN CAST(hub AS BIGINT) > left_over THEN left_over
+                 ELSE CAST(CAST(hub AS BIGINT) AS DOUBLE) END AS hub_final
+  FROM (SELECT *, site_h + {whole("site_arr")} - site_r - CAST(store AS BIGINT) AS left_over
         FROM capped)
 )"""
 
 
 TRANSFER_SELECT = f"""
 SELECT code, category, maker, name AS description, coalesce(part_no, '') AS part_no,
-       coalesce(related_code, '') AS related_code, {integer("site_h")} AS site_stock,
-       {integer("site_r")} AS site_reserved, {integer("site_arr")} AS site_arrivals,
-       {integer("own_h")} AS own_stock, {integer("own_arr")} AS own_arrivals,
-       {integer("own_r")} AS own_reserved, {integer("hub_h")} AS hub_stock,
-       {integer("hub_r")} AS hub_reserved, {integer("hub_arr")} AS hub_arrivals,
+       coalesce(related_code, '') AS related_code, {whole("site_h")} AS site_stock,
+       {whole("site_r")} AS site_reserved, {whole("site_arr")} AS site_arrivals,
+       {whole("own_h")} AS own_stock, {whole("own_arr")} AS own_arrivals,
+       {whole("own_r")} AS own_reserved, {whole("hub_h")} AS hub_stock,
+       {whole("hub_r")} AS hub_reserved, {whole("hub_arr")} AS hub_arrivals,
        s_hub AS hub_sales, s_all AS total_sales, minimum AS minimum_quantity,
        store AS store_suggestion, tr_store AS store_transfers, hub_final AS hub_suggestion,
        tr_hub AS hub_transfers, virtual AS virtual_arrivals
@@ -648,16 +648,16 @@ main AS (
     AND maker <> 'Brand#3'
 ),
 detail AS (
-  SELECT id, code, category, maker, description, {integer("free_stock")} AS free_stock,
-         {integer("incoming")} AS incoming, {integer("actual_stock")} AS actual_retail_only,
-         {integer("actual_b2b")} AS actual_b2b, virtual_arrivals,
-         {integer("coalesce(actual_stock, final_stock)")} AS final_stock, sold_90, sold_30,
+  SELECT id, code, category, maker, description, {whole("free_stock")} AS free_stock,
+         {whole("incoming")} AS incoming, {whole("actual_stock")} AS actual_retail_only,
+         {whole("actual_b2b")} AS actual_b2b, virtual_arrivals,
+         {whole("coalesce(actual_stock, final_stock)")} AS final_stock, sold_90, sold_30,
          {dec("standard_cost", 10, 2)} AS standard_cost, {dec("fifo_price", 10, 2)} AS fifo_price,
          {dec("net_retail", 10, 2)} AS net_retail, {dec("blended_cost", 10, 2)} AS blended_cost,
-         part_no, specs, related_code, {integer("related_stock")} AS related_stock,
-         {integer("related_arrivals")} AS related_arrivals,
-         {integer("related_reserved")} AS related_reserved,
-         {integer("related_net")} AS related_net
+         part_no, specs, related_code, {whole("related_stock")} AS related_stock,
+         {whole("related_arrivals")} AS related_arrivals,
+         {whole("related_reserved")} AS related_reserved,
+         {whole("related_net")} AS related_net
   FROM main
   WHERE (actual_b2b > 0 OR actual_b2b IS NULL)
     AND code NOT IN (SELECT related_code FROM main WHERE description ILIKE '%RING%')

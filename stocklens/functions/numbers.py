@@ -31,9 +31,12 @@ def to_decimal(c: Column, precision: int, scale: int) -> Column:
     return c.cast("decimal(38,10)").cast(f"decimal({precision},{scale})")
 
 
-def to_int(c: Column) -> Column:
-    """Whole number toward zero, as the reports show quantities."""
-    return c.cast("int")
+def to_whole(c: Column) -> Column:
+    """Whole number toward zero, as the reports show quantities.
+
+    64 bits: the stock of one product may exceed 32.
+    """
+    return c.cast("bigint")
 
 
 def number_text(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.config import ReportConfig
-from stocklens.functions.numbers import add_up, or_zero, to_decimal, to_int
+from stocklens.functions.numbers import add_up, or_zero, to_decimal, to_whole
 from stocklens.functions.text import in_texts, matches_any, text_key
 from stocklens.operators.costs import (
     arrival_quantity,
@@ -262,10 +262,10 @@ def deal_detail(main: DataFrame, cfg: ReportConfig) -> DataFrame:
     )
     money = ("standard_cost", "fifo_price", "net_retail", "blended_cost")
     computed = {
-        **{c: to_int(F.col(c)) for c in whole},
+        **{c: to_whole(F.col(c)) for c in whole},
         **{c: to_decimal(F.col(c), 10, 2) for c in money},
-        "actual_retail_only": to_int(F.col("actual_stock")),
-        "final_stock": to_int(F.coalesce(F.col("actual_stock"), F.col("final_stock"))),
+        "actual_retail_only": to_whole(F.col("actual_stock")),
+        "final_stock": to_whole(F.coalesce(F.col("actual_stock"), F.col("final_stock"))),
         "last_price": F.lit(None).cast("double"),
         "new_price": F.lit(None).cast("double"),
         "status": F.lit(None).cast("string"),

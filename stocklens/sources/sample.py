@@ -74,7 +74,7 @@ SAMPLE_CONFIG = ReportConfig(
     line_value_floor=50000.0,
     item_year=YEAR,
     # wide enough for any stock of the sample at any scale
-    need_precision=12,
+    need_precision=18,
 )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stocklens.config import DSV_COMPANY, ReportConfig
 from stocklens.functions.dates import entry_clock, in_last_days
-from stocklens.functions.numbers import number_text, to_decimal, to_int
+from stocklens.functions.numbers import number_text, to_decimal, to_whole
 from stocklens.functions.text import (
     ACCENTED,
     PLAIN,
@@ -117,7 +117,7 @@ def test_tokens(spark):
 
 def test_conversions(spark):
     df = values(spark, "double", 7.9, -7.9, 100.1 / 20, None)
-    assert mapped(df, to_int(F.col("v"))) == [7, -7, 5, None]
+    assert mapped(df, to_whole(F.col("v"))) == [7, -7, 5, None]
     assert [str(x) for x in mapped(df, to_decimal(F.col("v"), 10, 2))] == [
         "7.90",
         "-7.90",
