@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +28,9 @@ def write_year(df: DataFrame, path: str, year_column: str = "report_year") -> No
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name that every executor reaches.
 
-    Below the folder of ``spark.checkpoint.dir``; a local temporary folder only
-    where that is not set, as in tests.
+    Below the folder of ``spark.checkpoint.dir``; without that setting below the
+    warehouse folder, which a session always has and which a cluster shares.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="stocklens-")
-    return f"{base}/stocklens-{uuid.uuid4().hex}"
+    base = shared or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/stocklens-{uuid.uuid4().hex}"
