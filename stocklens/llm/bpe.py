@@ -17,13 +17,14 @@ import sys
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.llm.shared import texts_of
 
-CACHED_PIECES = 600_000
+CACHED_CHUNKS = 1_000_000
 CACHED_PAIRS = 1_000_000
 
 
@@ -42,57 +43,97 @@ class Encoder:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.found = ahocorasick.Automaton()
         for token in ranks:
-            self.found.add_word(token.decode("latin-1"), len(token))
+            if len(token) > 1:  # single bytes match everywhere
+                self.found.add_word(token.decode("latin-1"), len(token))
         self.found.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Plain merging of the lowest-ranked neighbours, used for pairs of tokens."""
-        parts, ranks = [data[i : i + 1] for i in range(len(data))], self.ranks
-        while len(parts) > 1:
-            rank, at = min(
-                (ranks.get(a + b, sys.maxsize), i)
-                for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
-            )
-            if rank == sys.maxsize:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
-
-    def compatible(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
+        self.pairs: dict[int, bool] = {}
+        self.spines: dict[bytes, tuple[list[int], list[int]]] = {}
+        self.chunks: dict[str, bytes] = {}
+        ordered = [self.tokens.get(k, b"") for k in range(max(self.tokens, default=0) + 1)]
+        self.lengths = np.array([len(t) for t in ordered], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(ordered), np.uint8)
+
+    def spine(self, token: bytes) -> tuple[list[int], list[int]]:
+        """The ranks of the parts along a token's left and its right edge, from byte to whole."""
+        known = self.spines.get(token)
         if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
-            self.pairs[a, b] = known
+            own = self.ranks[token]
+            if len(token) == 1:
+                known = [own], [own]
+            else:  # its last merge: the halves that merging leaves
+                parts = [token[i : i + 1] for i in range(len(token))]
+                while len(parts) > 2:
+                    _, at = min(
+                        (self.ranks.get(parts[i] + parts[i + 1], sys.maxsize), i)
+                        for i in range(len(parts) - 1)
+                    )
+                    parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                known = [*self.spine(parts[0])[0], own], [*self.spine(parts[1])[1], own]
+            self.spines[token] = known
         return known
 
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of both tokens leaves just them.
+
+        Both grow along their facing edges in the order of ranks; they are not if a merge
+        across comes first. Of equal ranks the leftmost is merged first.
+        """
+        left, right = self.spine(self.tokens[a])[1], self.spine(self.tokens[b])[0]
+        i = j = 0
+        while True:
+            grow_left = left[i + 1] if i + 1 < len(left) else sys.maxsize
+            grow_right = right[j + 1] if j + 1 < len(right) else sys.maxsize
+            across = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], sys.maxsize)
+            if across < grow_left and across <= grow_right and across < sys.maxsize:
+                return False
+            if grow_left == grow_right == sys.maxsize:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
+
     def encode_piece(self, data: bytes) -> list[int]:
-        whole = self.ranks.get(data)
+        ranks, pairs = self.ranks, self.pairs
+        whole = ranks.get(data)
         if whole is not None:
             return [whole]
         n = len(data)
-        lengths: list[list[int]] = [[] for _ in range(n + 1)]
+        lengths: list[list[int] | None] = [None] * n
         for end, length in self.found.iter(data.decode("latin-1")):
-            lengths[end - length + 1].append(length)  # rising, as ends rise
+            at = end - length + 1
+            if lengths[at] is None:
+                lengths[at] = [1, length]
+            else:
+                lengths[at].append(length)  # rising, as ends rise
         dead = bytearray(n + 1)
         ids: list[int] = []
         back: list[tuple[int, int]] = []
-        at, k = 0, len(lengths[0]) - 1
+        at, k = 0, -2
         while at < n:
+            own = lengths[at] or (1,)
+            if k == -2:
+                k = len(own) - 1
             while k >= 0:
-                end = at + lengths[at][k]
+                end = at + own[k]
                 if not dead[end]:
-                    token = self.ranks[data[at:end]]
-                    if not ids or self.compatible(ids[-1], token):
+                    token = ranks[data[at:end]]
+                    if not ids:
+                        break
+                    pair = ids[-1] << 32 | token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) >= CACHED_PAIRS:
+                            pairs.clear()
+                        fits = pairs[pair] = self.compatible(ids[-1], token)
+                    if fits:
                         break
                 k -= 1
             if k >= 0:
                 back.append((at, k))
                 ids.append(token)
-                at, k = end, len(lengths[end]) - 1
+                at, k = end, -2
             else:
                 dead[at] = 1
                 at, k = back.pop()
@@ -100,28 +141,42 @@ class Encoder:
                 k -= 1
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        pieces, packed = self.pieces, []
+    def encode_chunk(self, text: str) -> bytes:
+        own = array("I")
         for piece in self.split(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                own = array("I", self.encode_piece(piece.encode("utf-8", "surrogatepass")))
-                if sys.byteorder == "big":
-                    own.byteswap()
-                ids = own.tobytes()
-                if len(piece) <= 64:
-                    if len(pieces) >= CACHED_PIECES:
-                        pieces.clear()
-                    pieces[piece] = ids
-            packed.append(ids)
-        return b"".join(packed)
+            own.extend(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
+        if sys.byteorder == "big":
+            own.byteswap()
+        return own.tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers.
+
+        No piece reaches across a single space, which belongs to what follows; so a text
+        without double spaces is cut there, and what follows a space is looked up as a whole.
+        """
+        if "  " in text:
+            return self.encode_chunk(text)
+        first, *rest = text.split(" ")
+        known = self.chunks
+        packed = list(map(known.get, rest))
+        if None in packed:
+            for k, ids in enumerate(packed):
+                if ids is None:
+                    chunk = rest[k]
+                    ids = packed[k] = known.get(chunk) or self.encode_chunk(" " + chunk)
+                    if len(chunk) <= 48:
+                        if len(known) >= CACHED_CHUNKS:
+                            known.clear()
+                        known[chunk] = ids
+        return self.encode_chunk(first) + b"".join(packed)
 
     def decode(self, ids: bytes) -> bytes:
-        numbers = array("I", ids)
-        if sys.byteorder == "big":
-            numbers.byteswap()
-        return b"".join(map(self.tokens.__getitem__, numbers))
+        numbers = np.frombuffer(ids, "<u4").astype(np.int64)
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[numbers] - (ends - lengths), lengths)
+        return self.flat[shift + np.arange(len(shift))].tobytes()
 
 
 def encoder_of(vocabulary: dict[bytes, int], pattern: str, key: str) -> Encoder:

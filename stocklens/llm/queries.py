@@ -13,7 +13,9 @@ from stocklens.llm.packing import pack
 from stocklens.llm.quality import fit_quality, quality
 from stocklens.llm.redirects import url_verdicts
 from stocklens.llm.shared import fold, table
+from stocklens.llm.templates import main_text
 from stocklens.llm.toxicity import fit_toxicity, toxicity
+from stocklens.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +38,11 @@ def op1_packing(spark, directory):
     return pack(table(spark, directory, "documents"))
 
 
+@query
+def op2_templates(spark, directory):
+    return main_text(table(spark, directory, "pages"))
+
+
 @query
 def op4_quality(spark, directory):
     documents = table(spark, directory, "documents")
@@ -62,6 +69,11 @@ def op7_bpe(spark, directory):
     )
 
 
+@query
+def op8_warc(spark, directory):
+    return archived(table(spark, directory, "pages"))
+
+
 @query
 def op9_toxicity(spark, directory):
     documents = table(spark, directory, "documents")
