@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.bpe import encoded
 from stocklens.llm.chosen_path import near_duplicates
+from stocklens.llm.cover_tree import similar_vectors
 from stocklens.llm.packing import pack
 from stocklens.llm.quality import fit_quality, quality
 from stocklens.llm.redirects import url_verdicts
 from stocklens.llm.shared import fold, table
 from stocklens.llm.templates import main_text
 from stocklens.llm.toxicity import fit_toxicity, toxicity
+from stocklens.llm.voronoi import top_inner_products
 from stocklens.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +45,11 @@ def op2_templates(spark, directory):
     return main_text(table(spark, directory, "pages"))
 
 
+@query
+def op3_voronoi(spark, directory):
+    return top_inner_products(table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op4_quality(spark, directory):
     documents = table(spark, directory, "documents")
@@ -58,6 +65,11 @@ def op5_redirects(spark, directory):
     return url_verdicts(table(spark, directory, "pages"), URL_RULES)
 
 
+@query
+def op6_cover_tree(spark, directory):
+    return similar_vectors(table(spark, directory, "embeddings"))
+
+
 @query
 def op7_bpe(spark, directory):
     import public_tokenizers as vocabularies
@@ -110,3 +122,19 @@ WITH parts AS (
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged"""
+
+ORACLE["op3_voronoi"] = """
+WITH x AS (
+    SELECT vec_id, list_transform(embedding, c -> CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = len(embedding)
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(
+        CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM x q JOIN x c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
