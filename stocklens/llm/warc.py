@@ -2,8 +2,8 @@
 
 Writing: a page is a response record, or a revisit record without payload where an earlier
 page has the same payload. Records leave through Spark's text writer, whose line
-separator is the blank lines that end a record, so the files are plain WARC 1.1 on any storage Spark
-writes to. Reading: each archive file is read whole, records are cut out by Content-Length, and the
+separator is the blank lines that end a record, so the files are WARC 1.1, each compressed as a whole, on any
+storage Spark writes to; offsets are of the uncompressed archive. Reading: each archive file is read whole, records are cut out by Content-Length, and the
 entries of a file, sorted by (url key, time, page), are one run. Entries are dealt by range of
 that key; in every range a loser tree merges the runs, so the index is in one global order.
 """
@@ -11,6 +11,7 @@ that key; in every range a loser tree merges the runs, so the index is in one gl
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
@@ -66,7 +67,7 @@ def write_archives(pages: DataFrame, path: str, *, min_bytes: int = 0, file_reco
         "page_id", "url", "html", "first"
     ).mapInArrow(_records, "value string").write.option("lineSep", END).option(
         "maxRecordsPerFile", file_records
-    ).text(path)
+    ).option("compression", "gzip").text(path)
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +125,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, data in zip(batch.column(0), batch.column(1), strict=True):
             entries, run = [], path.as_py().rsplit("/", 1)[-1]
-            for offset, headers, block in parse_archive(data.as_py()):
+            for offset, headers, block in parse_archive(gzip.decompress(data.as_py())):
                 page = headers["WARC-Record-ID"].rsplit(":", 1)[1].rstrip(">")
                 refers = headers.get("WARC-Refers-To")
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
