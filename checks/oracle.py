@@ -443,11 +443,18 @@ ORACLE["supplier_tokens"] = query(
 )
 ORACLE["supplier_columns"] = query(
     DEAL_LISTS,
-    "SELECT list_item AS item_id, "
+    "SELECT list_item AS item_id, suppliers, "
     + ", ".join(f"string_split(suppliers, ', ')[{i}] AS supplier_{i}" for i in range(1, 6))
     + " FROM lists",
 )
 
+ORACLE["supplier_spread"] = query(
+    DEAL_LISTS,
+    """SELECT lower(name) AS description_key, s_name AS supplier,
+              CAST(row_number() OVER (PARTITION BY name ORDER BY s_name) AS INTEGER) AS place
+       FROM (SELECT DISTINCT name, s_name FROM deal_pur)""",
+)
+
 # ---- transfer suggestions ---------------------------------------------------------------------
 
 

@@ -28,6 +28,7 @@ from stocklens.operators.suppliers import (
     list_width,
     supplier_columns,
     supplier_list,
+    supplier_spread,
 )
 from stocklens.plans import deals as D
 from stocklens.plans.export import export_report, export_vs_retail_stock, items_with_related
@@ -430,7 +431,12 @@ def supplier_tokens(t):
 
 @over_tables(name="supplier_columns")
 def spread_suppliers(t):
-    return supplier_columns(_lists(t), 5, keep=False)
+    return supplier_columns(_lists(t), 5)
+
+
+@over_tables(name="supplier_spread")
+def every_supplier(t):
+    return supplier_spread(item_suppliers(t, CFG, exclude=CFG.logistics_companies))
 
 
 # ---- transfer suggestions ---------------------------------------------------------------------

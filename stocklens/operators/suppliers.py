@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stocklens.config import ReportConfig
@@ -86,12 +87,39 @@ def list_width(df: DataFrame, column: str = "suppliers") -> DataFrame:
 def supplier_columns(
     df: DataFrame, n: int, column: str = "suppliers", *, keep: bool = True, drop_empty: bool = True
 ) -> DataFrame:
-    """The list spread over ``supplier_1`` … ``supplier_n``; ``keep`` keeps the list as well."""
+    """The list spread over ``supplier_1`` … ``supplier_n``; ``keep`` keeps the list as well.
+
+    Without the list no token may be lost: a row with more than ``n`` tokens then raises.
+    """
     tokens = split_list(F.col(column), drop_empty)
     wide = df.select(
         "*", *[F.get(tokens, F.lit(i)).alias(f"supplier_{i + 1}") for i in range(n)]
     )
-    return wide if keep else wide.drop(column)
+    if keep:
+        return wide
+    lost = F.raise_error(F.concat(F.lit(f"more than {n} suppliers: "), F.col(column)))
+    first = F.when(F.size(tokens) > n, lost).otherwise(F.get(tokens, F.lit(0)))
+    return wide.withColumn("supplier_1", first).drop(column) if n else wide
+
+
+def supplier_spread(pairs: DataFrame) -> DataFrame:
+    """The complete lists in long form: one row per description and supplier, with its place.
+
+    Made from the distinct pairs, never from a gathered text, so it grows with the pairs;
+    the distinct (item_id, description) of ``pairs`` leads from items to their list.
+    """
+    names = (
+        pairs.select(
+            text_key(F.col("description")).alias("description_key"),
+            text_key(F.col("supplier")).alias("supplier_key"),
+            "supplier",
+        )
+        .filter("description_key is not null and supplier is not null")
+        .groupBy("description_key", "supplier_key")
+        .agg(F.min("supplier").alias("supplier"))
+    )
+    place = F.row_number().over(W.partitionBy("description_key").orderBy("supplier"))
+    return names.select("description_key", place.alias("place"), "supplier")
 
 
 def supplier_rows(df: DataFrame, column: str = "suppliers") -> DataFrame:
