@@ -2,7 +2,7 @@
 
 Tokens are the lower-cased runs of letters and digits. A token's weight is its log-odds
 between toxic and clean training texts, with a Dirichlet prior in proportion to its
-frequency in both, less a drift that makes the expected weight of clean text negative.
+frequency in all documents, less a drift that makes the expected weight of clean text negative.
 A linear scan finds every maximal scoring segment of a text. A segment's score S counts
 by its extreme-value statistics: in clean text of n tokens the best score exceeds S with
 probability 1 - exp(-K n exp(-lambda S)); lambda solves E[exp(lambda w)] = 1 on clean
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.shared import rows_where, texts_of, training_sample
+from stocklens.llm.shared import rows_where, texts_of, training_sample, written
 
 TOKEN = re.compile(r"[^\W_]+")
 Segment = tuple[int, int, float]
@@ -96,7 +97,7 @@ def fit_toxicity(
     """
     sample = training_sample(labels, "toxic", is_training, per_class)
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    counts = (
+    counts = written(
         texts.mapInArrow(_distinct_tokens, "token string, label int")
         .groupBy("token")
         .agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
@@ -106,9 +107,15 @@ def fit_toxicity(
         share = bad / (bad + good) if bad or good else 0.0
         odds = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return ToxicityModel({}, -1.0, 1.0, 1.0, odds, 0.0)
-    weight, deviation = _log_odds(bad, good, prior_share)
+    corpus = written(
+        documents.select("text")
+        .mapInArrow(_document_counts, "token string, seen long")
+        .groupBy("token")
+        .agg(F.sum("seen").alias("seen"))
+    )
+    weight, deviation = _log_odds(bad, good, prior_share, corpus.agg(F.sum("seen")).first()[0])
     strong = (
-        counts.select("token", "bad", "good", weight.alias("w"), deviation.alias("sd"))
+        counts.join(corpus, "token").select("token", "bad", "good", weight.alias("w"), deviation.alias("sd"))
         .filter((F.col("w") > drift) & (F.col("w") > 3.3 * F.col("sd")))
         .orderBy(F.desc(F.col("w") / F.col("sd")), "token")
         .limit(max_tokens)
@@ -162,14 +169,34 @@ def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def _log_odds(bad: int, good: int, prior_share: float) -> tuple[Column, Column]:
-    """Log-odds under a Dirichlet prior of the pooled frequencies, and its deviation.
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, texts that hold it), summed over some texts before the shuffle."""
+
+    def flushed() -> pa.RecordBatch:
+        tokens, seen = list(counter), list(counter.values())
+        counter.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tokens, pa.string()), pa.array(seen, pa.int64())], names=["token", "seen"]
+        )
+
+    counter: Counter[str] = Counter()
+    for _, texts in texts_of(batches, "text"):
+        for text in texts:
+            counter.update(set(TOKEN.findall((text or "").lower())))
+            if len(counter) > 200_000:
+                yield flushed()
+    yield flushed()
+
+
+def _log_odds(bad: int, good: int, prior_share: float, all_seen: int) -> tuple[Column, Column]:
+    """Log-odds under a Dirichlet prior of the frequencies in all documents, and its deviation.
 
-    The prior weighs as much as ``prior_share`` of the tokens counted.
+    ``seen`` of ``all_seen`` is a token's frequency; the prior weighs as much as
+    ``prior_share`` of the tokens counted in the sample.
     """
     prior = prior_share * (bad + good)
-    pooled = (F.col("bad") + F.col("good")) / (bad + good) * prior
-    x, y = F.col("bad") + pooled, F.col("good") + pooled
+    expected = F.col("seen") / all_seen * prior
+    x, y = F.col("bad") + expected, F.col("good") + expected
     weight = F.log(x / (bad + prior - x)) - F.log(y / (good + prior - y))
     return weight, F.sqrt(1 / x + 1 / y)
 
