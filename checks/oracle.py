@@ -1,11 +1,14 @@
 """The same results in SQL over the sample tables, written from the report rules.
 
 ``BASE`` holds the report tables as common table expressions; every query adds
-its own steps. Nothing here is shared with the Spark code.
+its own steps. Nothing here is shared with the Spark code but the headings.
 """
 
 from __future__ import annotations
 
+from stocklens.plans.labels import DEAL_LABELS, EXPORT_LABELS, transfer_labels
+from stocklens.sources.sample import SAMPLE_CONFIG
+
 AS_OF = "DATE '2001-08-01'"
 YEAR = 2000
 FISCAL = 2001
@@ -854,6 +857,29 @@ ORACLE["deal_export"] = query(
         FROM ({DEAL_REPORT}) r LEFT JOIN previous_rows ON CAST(prev AS VARCHAR) = code""",
 )
 
+ORACLE["deal_export_second_run"] = f"""
+    SELECT code, category, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS DOUBLE) AS new_price,
+           CASE WHEN code IS NULL THEN NULL WHEN incoming % 2 = 0 THEN free_stock + 0.25
+                ELSE last_price END AS last_price
+    FROM ({ORACLE["deal_export"]})"""
+
+
+def headed(sql: str, labels: dict[str, str]) -> str:
+    """The columns of ``sql`` under their headings; one it lacks is NULL."""
+    columns = ", ".join(f'{column} AS "{heading}"' for column, heading in labels.items())
+    return f"SELECT {columns} FROM ({sql})"
+
+
+ORACLE["labelled_deal_report"] = headed(
+    f"""SELECT *, CAST(NULL AS DOUBLE) AS last_price, CAST(NULL AS DOUBLE) AS new_price,
+               CAST(NULL AS VARCHAR) AS status FROM ({ORACLE["deal_report"]})""",
+    DEAL_LABELS,
+)
+ORACLE["labelled_transfer_report"] = headed(
+    ORACLE["transfer_suggestions"], transfer_labels(SAMPLE_CONFIG.dsv)
+)
+ORACLE["labelled_export_report"] = headed(ORACLE["export_report"], EXPORT_LABELS)
+
 ORACLE["labelled_retail_report"] = f"""
     SELECT year AS "Έτος", quarter AS "Τρίμηνο", branch AS "Υποκ/μα",
            category AS "Εμπορ.κατηγορία", supplier_code AS "Κωδικός", supplier AS "Προμηθευτής",

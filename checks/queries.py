@@ -39,7 +39,13 @@ from stocklens.plans.items import (
     report_items,
     with_item_year,
 )
-from stocklens.plans.labels import RETAIL_LABELS, labelled
+from stocklens.plans.labels import (
+    DEAL_LABELS,
+    EXPORT_LABELS,
+    RETAIL_LABELS,
+    labelled,
+    transfer_labels,
+)
 from stocklens.plans.retail import ordered_retail_report, retail_category_share
 from stocklens.plans.transfers import (
     items_seen_at,
@@ -105,7 +111,7 @@ def scan_stock(t):
 
 @over_tables
 def staged_purchases(t):
-    staged = stage(L.purchase_lines(t, CFG), "purchases")
+    staged = stage(L.purchase_lines(t, CFG).select("doc_type", "item_code", "quantity", "open_quantity"))
     by_type = staged.groupBy("doc_type").agg(
         F.count("*").alias("lines"),
         F.sum("quantity").alias("quantity"),
@@ -544,6 +550,36 @@ def deal_export(spark, directory):
     return money(D.deal_export(t, CFG, AS_OF, prev), "last_price", digits=2)
 
 
+@over_directory
+def deal_export_second_run(spark, directory):
+    """Export, write, enter prices, write, export again from what was written."""
+    t, prev = sample_tables(spark, directory), previous_export(spark, directory)
+    first, edited = scratch_dir(spark), scratch_dir(spark)
+    N.write_snapshot(D.deal_export(t, CFG, AS_OF, prev), first)
+    seen = spark.read.parquet(first)
+    entered = F.when(F.col("incoming") % 2 == 0, F.col("free_stock") + 0.25)
+    N.write_snapshot(seen.withColumn("new_price", entered).orderBy("row_no"), edited)
+    again = D.deal_export(t, CFG, AS_OF, N.read_snapshot(spark, edited))
+    rows = again.select("code", "category", "last_price", "new_price", "status")
+    return money(rows, "last_price", digits=2)
+
+
+@over_tables
+def labelled_deal_report(t):
+    return labelled(D.deal_report(t, CFG, AS_OF).drop("block", "rank", "is_detail"), DEAL_LABELS)
+
+
+@over_tables
+def labelled_transfer_report(t):
+    report = ordered_transfer_report(t, CFG, CFG.dsv, AS_OF)
+    return labelled(report, transfer_labels(CFG.dsv))
+
+
+@over_tables
+def labelled_export_report(t):
+    return labelled(export_report(t, CFG, YEAR, AS_OF), EXPORT_LABELS)
+
+
 # ---- export and retail ------------------------------------------------------------------------
 
 

@@ -341,13 +341,18 @@ def deal_rows(
 
 
 def unordered_deal_report(
-    t: Tables, cfg: ReportConfig, as_of: date, cost_mode: str = "sum", fix_header: bool = False
+    t: Tables,
+    cfg: ReportConfig,
+    as_of: date | None = None,
+    cost_mode: str = "sum",
+    fix_header: bool = False,
 ) -> DataFrame:
-    """Rows of the report with their sort keys.
+    """Rows of the report with their sort keys; without ``as_of``, as of today.
 
     Movements and qualifying items are staged: both are read more than once and
     are far smaller than the lines they come from.
     """
+    as_of = as_of or date.today()
     moves = stage(deal_movements(t, cfg, as_of))
     main = stage(deal_main(t, cfg, as_of, moves, cost_mode))
     listed = with_supplier_lists(deal_detail(main, cfg), t, cfg, moves)
@@ -369,16 +374,23 @@ def in_report_order(rows: DataFrame) -> DataFrame:
 
 
 def deal_report(
-    t: Tables, cfg: ReportConfig, as_of: date, cost_mode: str = "sum", fix_header: bool = False
+    t: Tables,
+    cfg: ReportConfig,
+    as_of: date | None = None,
+    cost_mode: str = "sum",
+    fix_header: bool = False,
 ) -> DataFrame:
     """The report in its output order."""
     return in_report_order(unordered_deal_report(t, cfg, as_of, cost_mode, fix_header))
 
 
 def deal_export(
-    t: Tables, cfg: ReportConfig, as_of: date, previous: DataFrame, **options
+    t: Tables, cfg: ReportConfig, as_of: date | None, previous: DataFrame, **options
 ) -> DataFrame:
-    """The report with what it takes from the previous export: NEW flags and last prices."""
+    """The report with what it takes from the previous export: NEW flags and last prices.
+
+    Written with ``write_snapshot``, it is the previous export of the next run.
+    """
     rows = unordered_deal_report(t, cfg, as_of, **options)
     rows = carry_forward_overrides(new_items(rows, previous), previous)
     return in_report_order(rows).select(*DETAIL_COLUMNS)

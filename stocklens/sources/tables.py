@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stocklens.sources.sinks import scratch_dir
+
 # Columns each table must offer; other columns are ignored.
 SCHEMAS: dict[str, str] = {
     "documents": (
@@ -83,8 +84,9 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def load_catalog(spark: SparkSession, erp: str, shop: str | None = None) -> Tables:
     """Tables from the catalog.
 
-    Header, stock side and lines saved with ``bucketBy(n, "findoc")`` join
-    without a shuffle; nothing else changes.
+    Stock side and lines saved with ``bucketBy(n, "findoc")`` join without a shuffle
+    of their own; the header is exchanged once, by a computed key. Bucketed lines
+    have no exchange, so a hot document is then not split.
     """
     schemas = {name: (shop or erp) if name in SHOP_TABLES else erp for name in SCHEMAS}
     return Tables(lambda name: spark.table(f"{schemas[name]}.{name}"))
@@ -125,20 +127,23 @@ def of_company(df: DataFrame, company: int) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Keep an intermediate that several results read, under a view name if given.
+    """Write an intermediate that several results read, under a view name if given.
 
-    It is stored where it is computed and spills to disk; lost blocks are computed
-    again from the inputs. Free it with :func:`unstage` or ``spark.catalog.clearCache``.
+    It becomes a Parquet table in the shared scratch folder and is read back: the plan
+    ends there, and lost executors cost nothing that is written. Every call writes anew
+    from the inputs of that moment, so nothing stale can be served; nothing is cached.
     """
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
     if name:
         staged.createOrReplaceTempView(name)
     return staged
 
 
 def unstage(spark: SparkSession, name: str) -> None:
+    """Drop the view of a staged intermediate; its files stay with the scratch folder."""
     if spark.catalog.tableExists(name):
-        spark.table(name).unpersist()
         spark.catalog.dropTempView(name)
 
 

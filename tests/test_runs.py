@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import date
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from stocklens.operators import snapshots as N
+from stocklens.plans.deals import deal_report
+from stocklens.plans.export import export_report
+from stocklens.plans.retail import retail_category_share
+from stocklens.plans.transfers import transfer_suggestions
+from stocklens.sources.sample import AS_OF, SAMPLE_CONFIG as CFG, YEAR, read, sample_tables
 from stocklens.sources.sinks import scratch_dir, write_full, write_year
 from stocklens.sources.tables import load, load_tables, stage, unstage
 from tests.erp import Erp, rows
 
+SAMPLE = "/root/testdata/sf0.001"
+SAMPLE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
 
 def previous(spark, *entries):
     return spark.createDataFrame(entries, N.SNAPSHOT_SCHEMA)
@@ -127,9 +137,47 @@ def test_tables_from_two_databases(spark):
 
 
 def test_staging(spark):
-    staged = stage(spark.range(3), "staged_range")
-    assert spark.table("staged_range").count() == 3
-    assert staged.storageLevel.useMemory and staged.storageLevel.useDisk
+    source = scratch_dir(spark)
+    write_full(spark.range(3), source)
+    staged = stage(spark.read.parquet(source), "staged_range")
+    write_full(spark.range(5), source)
+    assert staged.count() == 3 and spark.table("staged_range").count() == 3
+    assert stage(spark.read.parquet(source)).count() == 5  # a new call sees the new input
     unstage(spark, "staged_range")
     assert not spark.catalog.tableExists("staged_range")
-    assert not staged.storageLevel.useMemory
+
+
+def test_reports_follow_their_input_and_cache_nothing(spark):
+    directory = scratch_dir(spark)
+    for name in SAMPLE_TABLES:
+        read(spark, SAMPLE, name).write.parquet(f"{directory}/{name}.parquet")
+    before = retail_category_share(sample_tables(spark, directory), CFG, YEAR)
+    whole = before.agg(F.sum("quantity")).first()[0]
+    half = read(spark, SAMPLE, "lineitem").filter("l_orderkey % 2 = 0")
+    write_full(half, f"{directory}/lineitem.parquet")
+    after = retail_category_share(sample_tables(spark, directory), CFG, YEAR)
+    assert 0 < after.agg(F.sum("quantity")).first()[0] < whole
+    deal_report(sample_tables(spark, directory), CFG, AS_OF).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_snapshot_of_a_run_is_read_by_the_next(spark):
+    path = scratch_dir(spark)
+    first = spark.createDataFrame([("2", 5.0, None), ("1", None, 7.0)], "code string, last_price double, new_price double")
+    N.write_snapshot(first.orderBy("code"), path)
+    prev = N.read_snapshot(spark, path)
+    assert [r.code for r in prev.orderBy("row_no").collect()] == ["1", "2"]
+    got = N.carry_forward_overrides(first, prev)
+    assert rows(got, "code", "last_price", "new_price") == [("1", 7.0, None), ("2", 5.0, None)]
+    unnumbered = scratch_dir(spark)
+    write_full(first, unnumbered)
+    with pytest.raises(Exception, match="without row_no"):
+        N.carry_forward_overrides(first, N.read_snapshot(spark, unnumbered)).collect()
+
+
+def test_default_period_is_today(spark):
+    t = sample_tables(spark, SAMPLE)
+    assert retail_category_share(t, CFG).count() == 0
+    assert export_report(t, CFG).count() == 0
+    today = transfer_suggestions(t, CFG, CFG.dsv, date.today())
+    assert transfer_suggestions(t, CFG, CFG.dsv).count() == today.count()
