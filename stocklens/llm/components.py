@@ -63,7 +63,14 @@ def _followed(parents: DataFrame) -> DataFrame:
         above = parents.filter("node <> up").select(
             F.col("node").alias("__node"), F.col("up").alias("__up")
         )
-        further = parents.join(above, F.col("up") == F.col("__node"), "left")
-        if further.filter("__node is not null").isEmpty():
+        # whether a pointer moved is written along, so that no join runs a second time to ask
+        further = written(
+            parents.join(above, F.col("up") == F.col("__node"), "left").select(
+                "node",
+                F.coalesce("__up", "up").alias("up"),
+                F.col("__node").isNotNull().alias("moved"),
+            )
+        )
+        parents = further.drop("moved")
+        if further.filter("moved").isEmpty():
             return parents
-        parents = written(further.select("node", F.coalesce("__up", "up").alias("up")))
