@@ -134,8 +134,8 @@ def _links(
             pool = groups[0].select(F.explode("members").alias("rep")).unionByName(big.select("rep"))
             sets = written(
                 docs.join(pool.distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
+                .dropDuplicates(["doc_id"])  # here it needs no exchange after the join's
                 .mapInArrow(_sets(words), "rep long, members binary")
-                .dropDuplicates(["rep"])
             )
         if big.isEmpty():
             break
