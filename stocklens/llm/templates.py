@@ -79,11 +79,11 @@ def _hides(tag: str, attributes: str, in_article: bool) -> bool:
 def parse_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """Blocks (text, hashes of the subtrees it is in) and the distinct subtree hashes of a page.
 
-    Blocks inside an article have no hashes. Where a page has an article, only those count.
+    Blocks inside an article have no hashes.
     """
     page = page or ""
     stack: list[_Element] = [_Element("", False, False, -1)]
-    blocks: list[tuple[list[str], list[int], bool]] = []
+    blocks: list[tuple[str, list[int]]] = []
     hashes: list[int | None] = []
     parts: list[str] = []
 
@@ -92,7 +92,7 @@ def parse_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]
         if text:
             top = stack[-1]
             chain = [] if top.own else [e.number for e in stack[1:]]
-            blocks.append((text, chain, top.own))
+            blocks.append((text, chain))
         parts.clear()
 
     def close(element: _Element) -> None:
@@ -154,9 +154,7 @@ def parse_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]
             close(stack.pop())
     flush()
     pop_to(1)
-    if any(own for _, _, own in blocks):
-        return [(t, []) for t, _, own in blocks if own], []
-    rows = [(t, [hashes[k] for k in chain]) for t, chain, _ in blocks]
+    rows = [(t, [hashes[k] for k in chain]) for t, chain in blocks]
     return rows, sorted({h for _, chain in rows for h in chain})
 
 
@@ -169,8 +167,8 @@ def main_text(
     least and on ``min_share`` of them. Pages without a host share the empty host. Null and
     empty html give empty text; unclosed and broken markup is read as far as it goes. White space
     inside a block becomes one space, blocks are joined by one space. Repeated rows and ids
-    each keep a row; other columns are ignored. The text that has no subtree to look up, as on
-    every page with an article, is not shuffled.
+    each keep a row; other columns are ignored. The text of a page without a subtree to look up, as
+    where all of it stands inside an article, is not shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -151,6 +151,15 @@ def test_main_text(spark):
     assert got == {**{k: f"own {k}" for k in range(8)}, 90: "", 91: "", 92: "Hosted by us"}
 
 
+def test_text_beside_an_article(spark):
+    pages = [
+        (k, "http://h.example/x", f"<body><div><p>Hosted by us</p></div><article><p>all share</p></article><p>part {k}</p>")
+        for k in range(8)
+    ]
+    got = main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: f"all share part {k}" for k in range(8)}
+
+
 def test_verdicts_reach_aliases(spark):
     link = "<link href='{}' rel='canonical'>"
     rows = [
