@@ -3,7 +3,7 @@
 Each page is parsed once. Elements whose tag, role or class names them as menu, header, footer,
 sidebar, notice, advert, form, comment or script are left out. Every other element outside the
 article is hashed with its whole subtree (tag, text, children); Spark counts the
-hashes per host, and the subtrees that recur on many pages of a host are deleted. What
+hashes per host, and the subtrees that recur beside different texts of a host are deleted. What
 stands inside an article (or main) element is the page's own text: a passage that
 many articles of a host share is no template and stays.
 """
@@ -49,6 +49,8 @@ MARKUP = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))")
+WHOLE = ("html", "body")
+MOST = 0.8  # of a page's characters: a subtree with more is the page itself
 SPACE = re.compile(r"\s+")
 NAME = re.compile(r"[a-z]+")
 
@@ -79,20 +81,23 @@ def _hides(tag: str, attributes: str, in_article: bool) -> bool:
 def parse_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     """Blocks (text, hashes of the subtrees it is in) and the distinct subtree hashes of a page.
 
-    Blocks inside an article have no hashes.
+    Blocks inside an article have no hashes. html, body and what holds most of the page have none.
     """
     page = page or ""
     stack: list[_Element] = [_Element("", False, False, -1)]
     blocks: list[tuple[str, list[int]]] = []
     hashes: list[int | None] = []
+    sizes: list[int] = []
     parts: list[str] = []
 
     def flush() -> None:
         text = SPACE.sub(" ", "".join(parts)).strip()
         if text:
             top = stack[-1]
-            chain = [] if top.own else [e.number for e in stack[1:]]
-            blocks.append((text, chain))
+            chain = [e.number for e in stack[1:] if not e.own and e.tag not in WHOLE]
+            for number in chain:
+                sizes[number] += len(text)
+            blocks.append((text, [] if top.own else chain))
         parts.clear()
 
     def close(element: _Element) -> None:
@@ -148,23 +153,29 @@ def parse_page(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]
         own = not hidden and (top.own or tag in ("article", "main"))
         stack.append(_Element(tag, hidden, own, len(hashes)))
         hashes.append(None)
+        sizes.append(0)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             close(stack.pop())
     flush()
     pop_to(1)
-    rows = [(t, [hashes[k] for k in chain]) for t, chain in blocks]
+    most = MOST * sum(len(t) for t, _ in blocks)
+    rows = [(t, [hashes[k] for k in chain if sizes[k] <= most]) for t, chain in blocks]
     return rows, sorted({h for _, chain in rows for h in chain})
 
 
-def main_text(
-    pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.02
-) -> DataFrame:
+def _content(blocks: list[tuple[str, list[int]]]) -> int:
+    text = " ".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
+
+
+def main_text(pages: DataFrame, *, min_pages: int = 5) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    A subtree outside an article is a template when it recurs on ``min_pages`` pages of a host at
-    least and on ``min_share`` of them. Pages without a host share the empty host. Null and
+    A subtree outside an article is a template when it recurs on pages of a host with ``min_pages``
+    different texts at least, whatever the size of the host: copies of a page count once. Pages
+    without a host share the empty host. Null and
     empty html give empty text; unclosed and broken markup is read as far as it goes. White space
     inside a block becomes one space, blocks are joined by one space. Repeated rows and ids
     each keep a row; other columns are ignored. The text of a page without a subtree to look up, as
@@ -189,8 +200,9 @@ def main_text(
                         pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.int64()))])),
                     ),
                     pa.array([h for _, h in parsed], pa.list_(pa.int64())),
+                    pa.array([_content(b) if o else None for (b, _), o in zip(parsed, open_)], pa.int64()),
                 ],
-                names=["page_id", "url", "host", "text", "blocks", "subtrees"],
+                names=["page_id", "url", "host", "text", "blocks", "subtrees", "content"],
             )
 
     parsed = written(
@@ -198,17 +210,17 @@ def main_text(
         .mapInArrow(
             run,
             "page_id long, url string, host string, text string,"
-            " blocks array<struct<text: string, within: array<long>>>, subtrees array<long>",
+            " blocks array<struct<text: string, within: array<long>>>, subtrees array<long>, content long",
         )
         .withColumn("row", F.monotonically_increasing_id())
     )
-    seen = parsed.select("row", "host", F.explode("subtrees").alias("subtree"))
-    counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
+    seen = parsed.select("row", "host", "content", F.explode("subtrees").alias("subtree"))
     templates = (
-        counts.filter(F.col("n") >= min_pages)
-        .join(sizes, "host")
-        .filter(F.col("n") >= F.col("pages") * min_share)
+        seen.select("host", "subtree", "content")
+        .distinct()
+        .groupBy("host", "subtree")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= min_pages)
         .select("host", "subtree")
     )
     hits = seen.join(templates, ["host", "subtree"]).groupBy("row").agg(

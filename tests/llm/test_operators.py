@@ -160,6 +160,17 @@ def test_text_beside_an_article(spark):
     assert {r.page_id: r.text for r in got} == {k: f"all share part {k}" for k in range(8)}
 
 
+def test_copies_are_no_template_and_hosts_of_any_size_have_them(spark):
+    copy = "<body><div><p>first words of a copy</p><p>second</p></div>"
+    pages = [(k, "http://copies.example/x", copy) for k in range(6)]
+    line = "<p>call us</p>"
+    for k in range(10, 610):
+        pages.append((k, "http://hot.example/x", f"<body>{line if k < 16 else ''}<p>page number {k}</p>"))
+    got = main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    want = dict.fromkeys(range(6), "first words of a copy second")
+    assert {r.page_id: r.text for r in got} == want | {k: f"page number {k}" for k in range(10, 610)}
+
+
 def test_verdicts_reach_aliases(spark):
     link = "<link href='{}' rel='canonical'>"
     rows = [
