@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.llm.shared import written
@@ -50,8 +50,8 @@ def top_inner_products(
     All rows but those with the query's own id are candidates; ties go to the smaller vec_id;
     fewer candidates give fewer rows. Vectors that are null or hold null or non-finite components
     take no part, nor do rows without an id. Vectors of another length than the query's do not meet it.
-    An id that repeats is a candidate for each of its vectors, and a query once per
-    vector merged to its best scores; other columns are ignored.
+    Repeated rows and ids count each, as in a plain join: a row that is there twice takes two ranks,
+    and a query that is there twice meets every row twice. Other columns are ignored.
     """
     vectors = written(scaled(embeddings, scale).filter("vec_id is not null"))
     squares = F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c)
@@ -71,24 +71,12 @@ def top_inner_products(
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    """The best k of each query's partial lists, kept small by a first grouping per list part."""
-    best = F.slice(
-        F.array_sort(
-            F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))
-        ),
-        1,
-        k,
-    )
+    """The best k of each query's partial lists, repeats among them."""
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        found.groupBy("query_id")
-        .agg(best.alias("best"))
-        .select("query_id", F.posexplode("best").alias("at", "b"))
-        .select(
-            "query_id",
-            (F.col("at") + 1).cast("int").alias("rank"),
-            F.col("b.vec_id").alias("vec_id"),
-            (-F.col("b.s")).alias("score"),
-        )
+        found.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
     )
 
 
@@ -148,11 +136,13 @@ def _one_length(
     # the cells of smallest greatest distance that hold k rows bound the k-th distance of a query cell
     summary = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
     near = {r.cell: (r.n, r.far) for r in summary}
+    own = rows.groupBy("vec_id").count().agg(F.max("count")).first()[0]
     distance = np.sqrt(np.maximum(0, ((pivots[:, None] - pivots[None]) ** 2).sum(2)))
     bounds = []
     for q in range(len(pivots)):
-        # fill k + 1 rows (the query's own may be one) from the cells of smallest greatest distance
-        left, bound = k + 1, float("inf")
+        # fill k rows and as many as an id has (they may be the query's own) from the cells of smallest
+        # greatest distance
+        left, bound = k + own, float("inf")
         for reach, n in sorted((distance[q, c] + far, n) for c, (n, far) in near.items()):
             left -= n
             if left <= 0:

@@ -117,6 +117,22 @@ def test_similar_vectors_and_top_products(spark):
         assert sorted(found[q]) == [(i + 1, k, s) for i, (s, k) in enumerate(want)]
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_top_products_of_repeated_rows(spark, copies):
+    r = np.random.RandomState(1)
+    rows = [(k, list(map(float, r.normal(size=6)))) for k in range(200)]
+    rows += [rows[k] for k in (0, 3, 8, 20)] * (copies - 1) + [(5, rows[9][1])]
+    x = [(k, np.floor(64 * np.array(v)).astype(int)) for k, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for row in top_inner_products(df, F.col("vec_id") % 20 == 0, block_rows=16, query_rows=4).collect():
+        found.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    for q in range(0, 200, 20):
+        pairs = [(int(a @ b), k) for j, a in x if j == q for k, b in x if k != q]
+        want = sorted(pairs, key=lambda p: (-p[0], p[1]))[:20]
+        assert sorted(found[q]) == [(i + 1, k, s) for i, (s, k) in enumerate(want)]
+
+
 def test_encoding_equals_the_library(spark):
     tiktoken = pytest.importorskip("tiktoken")
     path, pattern = vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN
