@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.llm.bpe import encoded
+from stocklens.llm.centroids import kmeans
 from stocklens.llm.chosen_path import near_duplicates
 from stocklens.llm.cover_tree import similar_vectors
 from stocklens.llm.packing import pack
@@ -101,6 +102,58 @@ def op10_chosen_path(spark, directory):
     return near_duplicates(table(spark, directory, "documents"), words=3, percent=85)
 
 
+@query
+def op11_threshold_kmeans(spark, directory):
+    return kmeans(table(spark, directory, "embeddings"), clusters=16, rounds=3)
+
+
+def _kmeans_sql(clusters: int = 16, rounds: int = 3, width: int = 64) -> str:
+    """DuckDB: the same rounds unrolled, every distance computed."""
+
+    def assign(step: int) -> str:
+        return f"""a{step} AS (
+    SELECT rid, vec_id, x, cluster, dist FROM (
+        SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dist, cluster) AS r FROM (
+            SELECT v.rid, v.vec_id, v.x, c{step - 1}.cluster, list_sum(list_transform(range(1, {width + 1}),
+                lambda i: (v.x[i] - c{step - 1}.c[i]) * (v.x[i] - c{step - 1}.c[i]))) AS dist
+            FROM v, c{step - 1}))
+    WHERE r = 1)"""
+
+    def update(step: int) -> str:
+        return f"""s{step} AS (
+    SELECT cluster, i, CAST(sum(x[i]) AS HUGEINT) AS s, count(*) AS n
+    FROM a{step}, range(1, {width + 1}) t(i) GROUP BY cluster, i
+), n{step} AS (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{step} GROUP BY cluster
+), c{step} AS (
+    SELECT cluster, c FROM n{step}
+    UNION ALL SELECT cluster, c FROM c{step - 1} WHERE cluster NOT IN (SELECT cluster FROM n{step}))"""
+
+    parts = [f"""v AS (
+    SELECT row_number() OVER () AS rid, vec_id,
+        list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = {width}
+        AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {width}
+), c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS cluster, x AS c FROM (
+        SELECT sha256('1:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {clusters}))"""]
+    for step in range(1, rounds + 1):
+        parts += [assign(step), update(step)]
+    parts.append(assign(rounds + 1))
+    last = f"a{rounds + 1}"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT a.vec_id, a.cluster, CAST(a.dist AS BIGINT) AS distance,
+    CAST(t.cluster_inertia AS BIGINT) AS cluster_inertia, CAST(t.inertia AS BIGINT) AS inertia,
+    sha256(array_to_string(c{rounds}.c, ',')) AS centroid_sha256
+FROM {last} a
+JOIN (SELECT cluster, sum(dist) AS cluster_inertia, sum(sum(dist)) OVER () AS inertia FROM {last} GROUP BY cluster) t
+    USING (cluster)
+JOIN c{rounds} USING (cluster)"""
+
+
+ORACLE["op11_threshold_kmeans"] = _kmeans_sql()
+
 # pages of the sample tables hold no redirect and no canonical link, so rules alone decide there
 ORACLE["op5_redirects"] = r"""
 WITH parts AS (
