@@ -15,6 +15,7 @@ from stocklens.llm.packing import pack
 from stocklens.llm.quality import fit_quality, quality
 from stocklens.llm.redirects import url_verdicts
 from stocklens.llm.shared import fold, table
+from stocklens.llm.substrings import repeated_windows
 from stocklens.llm.templates import main_text
 from stocklens.llm.toxicity import fit_toxicity, toxicity
 from stocklens.llm.voronoi import top_inner_products
@@ -107,6 +108,11 @@ def op11_threshold_kmeans(spark, directory):
     return kmeans(table(spark, directory, "embeddings"), clusters=16, rounds=3)
 
 
+@query
+def op13_anchor_dedup(spark, directory):
+    return repeated_windows(table(spark, directory, "documents"), span=35, period=21)
+
+
 def _kmeans_sql(clusters: int = 16, rounds: int = 3, width: int = 64) -> str:
     """DuckDB: the same rounds unrolled, every distance computed."""
 
