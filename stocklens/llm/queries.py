@@ -12,6 +12,7 @@ from stocklens.llm.centroids import kmeans
 from stocklens.llm.chosen_path import near_duplicates
 from stocklens.llm.cover_tree import similar_vectors
 from stocklens.llm.packing import pack
+from stocklens.llm.prefix_trie import prefix_trie
 from stocklens.llm.quality import fit_quality, quality
 from stocklens.llm.redirects import url_verdicts
 from stocklens.llm.shared import fold, table
@@ -108,6 +109,11 @@ def op11_threshold_kmeans(spark, directory):
     return kmeans(table(spark, directory, "embeddings"), clusters=16, rounds=3)
 
 
+@query
+def op12_prefix_trie(spark, directory):
+    return prefix_trie(table(spark, directory, "conversations"))
+
+
 @query
 def op13_anchor_dedup(spark, directory):
     return repeated_windows(table(spark, directory, "documents"), span=35, period=21)
