@@ -11,10 +11,11 @@ q - p, which D covers), and these anchors are equal. So only windows that hold a
 anchor at some offset below ``period`` can be repeated; those windows alone are hashed
 whole and counted, which decides exactly.
 
-Spark does the counting: anchors are grouped by hash (combined on the map side), windows
-near a repeated anchor by their 128-bit hash, and the verdicts reach the texts by joins on
-a row key, so that each row is judged by itself, repeated rows and ids too. Tasks see one
-document at a time; nothing of a group is gathered in one place.
+Spark does the counting: anchors go through one exchange by hash and a sorted stream keeps
+those whose hash comes twice or more; windows near a repeated anchor do the same by their
+128-bit hash. The verdicts reach the texts by joins on a row key, so that each row is judged
+by itself, repeated rows and ids too. Tasks see one document at a time; no group is gathered
+in one place, though the rows of one hash are streamed by one task.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import itertools
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -140,14 +142,51 @@ def _verdicts(span: int):
     return run
 
 
+def _runs_of_two(keys: list[str]):
+    """mapInArrow function over rows sorted by ``keys``: the rows whose key run has two rows or more.
+
+    Streams: besides the batch, only the one row of a run not yet known to repeat is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, pending, run_length = None, None, 0
+        for batch in batches:
+            n = len(batch)
+            if n == 0:
+                continue
+            cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+            same = np.zeros(n, bool)
+            same[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in cols])
+            first = tuple(c[0] for c in cols)
+            same[0] = last_key is not None and first == last_key
+            run_id = np.cumsum(~same)                       # 1, 2, ... ; the first run may continue one
+            lengths = np.bincount(run_id)
+            total = lengths[run_id].copy()
+            if same[0]:
+                total[run_id == run_id[0]] += run_length
+            keep = total >= 2
+            if same[0] and pending is not None and keep[0]:
+                yield pending
+            pending = None
+            end = run_id == run_id[-1]
+            if not keep[-1]:                                 # a run of one at the end: wait for the next batch
+                pending = batch.slice(n - 1, 1)
+                keep &= ~end
+            run_length = int(total[-1])
+            last_key = tuple(c[-1] for c in cols)
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return run
+
+
 def occurring_twice(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``rows`` whose key occurs in at least two rows.
+    """The rows of ``rows`` whose key occurs in at least two rows: one exchange by key, then a sorted stream.
 
-    Counts are combined on the map side; a key held by a large share of all rows costs one
-    count per partition there, and its rows pass a semi join that adaptive execution splits.
+    A key held by a large share of all rows is streamed by one task without being gathered.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select(*keys)
-    return rows.join(counts, keys, "left_semi")
+    spread = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return spread.mapInArrow(_runs_of_two(keys), rows.schema)
 
 
 def repeated_windows(documents: DataFrame, span: int = 35, period: int = 21) -> DataFrame:
