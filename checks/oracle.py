@@ -451,6 +451,50 @@ ORACLE["supplier_columns"] = query(
     + " FROM lists",
 )
 
+SPREAD = (
+    DEAL_LISTS
+    + """,
+spread AS (
+  SELECT lower(name) AS description_key, s_name AS supplier,
+         CAST(row_number() OVER (PARTITION BY name ORDER BY s_name) AS INTEGER) AS place
+  FROM (SELECT DISTINCT name, s_name FROM deal_pur))"""
+)
+
+ORACLE["supplier_places_by_range"] = query(SPREAD, "SELECT * FROM spread")
+
+# the width comes from the data here too: PIVOT makes one column per place that occurs
+ORACLE["supplier_wide"] = query(
+    SPREAD,
+    """SELECT i.item_id, w.* EXCLUDE (description_key)
+       FROM (SELECT DISTINCT mtrl AS item_id, lower(name) AS description_key FROM deal_pur) i
+       LEFT JOIN (PIVOT (SELECT description_key, 'supplier_' || CAST(place AS VARCHAR) AS col, supplier
+                         FROM spread)
+                  ON col USING first(supplier) GROUP BY description_key) w
+         ON w.description_key = i.description_key""",
+)
+
+PAGED = (
+    SPREAD
+    + """,
+ids AS (SELECT description_key, CAST(row_number() OVER (ORDER BY description_key) AS INTEGER) AS list_id
+        FROM (SELECT DISTINCT description_key FROM spread))"""
+)
+
+ORACLE["supplier_pages"] = query(
+    PAGED,
+    """SELECT list_id, CAST((place - 1) // 50 + 1 AS INTEGER) AS page,
+              string_agg(supplier, ', ' ORDER BY place) AS suppliers
+       FROM spread JOIN ids USING (description_key)
+       GROUP BY list_id, (place - 1) // 50 + 1""",
+)
+
+ORACLE["supplier_list_ids"] = query(
+    PAGED,
+    """SELECT i.item_id, ids.list_id
+       FROM (SELECT DISTINCT mtrl AS item_id, lower(name) AS description_key FROM deal_pur) i
+       LEFT JOIN ids USING (description_key)""",
+)
+
 ORACLE["supplier_spread"] = query(
     DEAL_LISTS,
     """SELECT lower(name) AS description_key, s_name AS supplier,

@@ -28,7 +28,10 @@ from stocklens.operators.suppliers import (
     list_width,
     supplier_columns,
     supplier_list,
+    supplier_pages,
+    supplier_places,
     supplier_spread,
+    supplier_wide,
 )
 from stocklens.plans import deals as D
 from stocklens.plans.export import export_report, export_vs_retail_stock, items_with_related
@@ -66,6 +69,7 @@ from stocklens.sources.sinks import scratch_dir, write_full, write_year
 from stocklens.sources.tables import Tables, of_company, stage
 
 CFG = SAMPLE_CONFIG
+PAGE = 50  # names in one cell of a paged supplier list
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -445,6 +449,26 @@ def every_supplier(t):
     return supplier_spread(item_suppliers(t, CFG, exclude=CFG.logistics_companies))
 
 
+@over_tables
+def supplier_places_by_range(t):
+    return supplier_places(item_suppliers(t, CFG, exclude=CFG.logistics_companies))
+
+
+@over_tables(name="supplier_wide")
+def suppliers_across(t):
+    return supplier_wide(item_suppliers(t, CFG, exclude=CFG.logistics_companies))
+
+
+@over_tables(name="supplier_pages")
+def paged_lists(t):
+    return supplier_pages(item_suppliers(t, CFG, exclude=CFG.logistics_companies), page_size=PAGE)[0]
+
+
+@over_tables(name="supplier_list_ids")
+def items_with_list_ids(t):
+    return supplier_pages(item_suppliers(t, CFG, exclude=CFG.logistics_companies), page_size=PAGE)[1]
+
+
 # ---- transfer suggestions ---------------------------------------------------------------------
 
 

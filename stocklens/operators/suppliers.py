@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stocklens.config import ReportConfig
 from stocklens.functions.text import in_texts, split_list, text_key
 from stocklens.operators.lines import document_lines, is_purchase
+from stocklens.operators.numbering import numbered
 from stocklens.sources.tables import Tables
 
 
@@ -122,6 +123,81 @@ def supplier_spread(pairs: DataFrame) -> DataFrame:
     return names.select("description_key", place.alias("place"), "supplier")
 
 
+def _named(pairs: DataFrame) -> DataFrame:
+    """Distinct (description_key, supplier) with a name and a description, one spelling per supplier."""
+    return (
+        pairs.select(
+            text_key(F.col("description")).alias("description_key"),
+            text_key(F.col("supplier")).alias("supplier_key"),
+            "supplier",
+        )
+        .filter("description_key is not null and supplier is not null")
+        .groupBy("description_key", "supplier_key")
+        .agg(F.min("supplier").alias("supplier"))
+    )
+
+
+def supplier_places(pairs: DataFrame) -> DataFrame:
+    """:func:`supplier_spread` numbered by a sort by range: a description with very many
+    suppliers is numbered by many tasks, not by one window task."""
+    return numbered(_named(pairs), ["description_key"], ["supplier"]).select(
+        "description_key", "place", "supplier"
+    )
+
+
+def supplier_wide(pairs: DataFrame, max_width: int = 16_000) -> DataFrame:
+    """One row per item of ``pairs`` with ``supplier_1`` … ``supplier_n``, n the longest list.
+
+    The width comes from the data: one aggregation finds the largest place, then the long
+    form is pivoted over exactly those places, combined per description on the map side,
+    and items meet their description's row. No list text is built or kept. Items without
+    a named supplier or without a description have NULL in every column; without any
+    supplier at all there are no supplier columns. A width above ``max_width`` (a
+    spreadsheet holds about 16,000 columns) raises instead of cutting the list.
+    """
+    places = supplier_places(pairs)
+    width = places.agg(F.max("place")).first()[0] or 0
+    if width > max_width:
+        raise ValueError(f"{width} suppliers for one description, more than {max_width} columns")
+    items = pairs.select("item_id", text_key(F.col("description")).alias("description_key")).distinct()
+    if width == 0:
+        return items.select("item_id")
+    wide = (
+        places.groupBy("description_key")
+        .pivot("place", list(range(1, width + 1)))
+        .agg(F.first("supplier"))
+    )
+    columns = [F.col(f"`{i}`").alias(f"supplier_{i}") for i in range(1, width + 1)]
+    return items.join(wide, "description_key", "left").select("item_id", *columns)
+
+
+def supplier_pages(pairs: DataFrame, page_size: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Supplier lists encoded once per description: (lists, items).
+
+    ``lists`` holds (list_id, page, suppliers): list_id numbers the descriptions in order of
+    their key, from 1; page p (from 1) holds the comma list of places (p - 1) * page_size + 1
+    to p * page_size. ``items`` holds (item_id, list_id), NULL for items whose description
+    has no named supplier. Bytes grow with the distinct (description, supplier) pairs, not
+    with items times suppliers, and no cell holds more than ``page_size`` names. Numbers
+    come from sorts by range, so neither a long list nor the list of descriptions is
+    numbered in one task.
+    """
+    places = supplier_places(pairs)
+    ids = numbered(places.select("description_key").distinct(), [], ["description_key"], "list_id")
+    pages = places.join(ids, "description_key").withColumn(
+        "page", (F.floor((F.col("place") - 1) / page_size) + 1).cast("int")
+    )
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "supplier"))),
+                                      lambda x: x["supplier"]), ", ")
+    lists = pages.groupBy("list_id", "page").agg(listed.alias("suppliers"))
+    items = (
+        pairs.select("item_id", text_key(F.col("description")).alias("description_key")).distinct()
+        .join(ids, "description_key", "left")
+        .select("item_id", "list_id")
+    )
+    return lists, items
+
+
 def supplier_rows(df: DataFrame, column: str = "suppliers") -> DataFrame:
     """The list in long form: one row per supplier with its position from 1."""
     tokens = split_list(F.col(column))
