@@ -9,7 +9,9 @@ difference cover D (every remainder is a difference of two members of D): an anc
 hold, at one common offset h < period, the anchors p+h and q+h (their remainders differ by
 q - p, which D covers), and these anchors are equal. So only windows that hold a repeated
 anchor at some offset below ``period`` can be repeated; those windows alone are hashed
-whole and counted, which decides exactly.
+whole and counted, which decides exactly. Anchors only choose where to look, so a 32-bit
+anchor hash suffices (a collision costs a few more windows, never a result); windows are
+keyed by 96 bits of a 128-bit hash of their 128-bit word hashes.
 
 Spark does the counting: anchors go through one exchange by hash and a sorted stream keeps
 those whose hash comes twice or more; windows near a repeated anchor do the same by their
@@ -73,9 +75,9 @@ def _anchors(span: int, period: int, cover: tuple[int, ...]):
                     if a % period in members:
                         rk.append(key)
                         pos.append(a)
-                        kg.append(_signed(xxhash.xxh3_64_intdigest(b[16 * a : 16 * (a + width)])))
+                        kg.append(xxhash.xxh32_intdigest(b[16 * a : 16 * (a + width)]) - (1 << 31))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rk, pa.int64()), pa.array(pos, pa.int32()), pa.array(kg, pa.int64())], ["rk", "pos", "kg"]
+                [pa.array(rk, pa.int64()), pa.array(pos, pa.int32()), pa.array(kg, pa.int32())], ["rk", "pos", "kg"]
             )
 
     return run
@@ -99,10 +101,10 @@ def _windows(span: int, period: int):
                     rk.append(key)
                     start.append(p)
                     w1.append(_signed(h >> 64))
-                    w2.append(_signed(h & ((1 << 64) - 1)))
+                    w2.append((h & 0xFFFFFFFF) - (1 << 31))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rk, pa.int64()), pa.array(start, pa.int32()), pa.array(w1, pa.int64()),
-                 pa.array(w2, pa.int64())],
+                 pa.array(w2, pa.int32())],
                 ["rk", "p", "w1", "w2"],
             )
 
@@ -198,17 +200,17 @@ def repeated_windows(documents: DataFrame, span: int = 35, period: int = 21) ->
     stays null), n_words, n_removed, kept_sha256 (sha256 of the kept words joined by one
     space, UTF-8). Null and empty texts have no words: 0, 0 and the hash of the empty string.
     Texts shorter than ``span`` words have no window and keep everything. Windows are judged
-    on the input, not on what is left. Equal 128-bit hashes of 128-bit word hashes count as
-    equal windows. Extra columns of ``documents`` are not carried. ``period`` must not be
+    on the input, not on what is left. Equal 96-bit window hashes (of 128-bit word hashes)
+    count as equal windows. Extra columns of ``documents`` are not carried. ``period`` must not be
     above ``span``.
     """
     if not 0 < period <= span:
         raise ValueError("period must be between 1 and span")
     cover = difference_cover(period)
     docs = documents.select("doc_id", "text").withColumn("rk", F.monotonically_increasing_id())
-    anchors = docs.select("rk", "text").mapInArrow(_anchors(span, period, cover), "rk long, pos int, kg long")
+    anchors = docs.select("rk", "text").mapInArrow(_anchors(span, period, cover), "rk long, pos int, kg int")
     candidates = occurring_twice(anchors, ["kg"]).groupBy("rk").agg(F.collect_set("pos").alias("anchors"))
-    windows = docs.join(candidates, "rk").mapInArrow(_windows(span, period), "rk long, p int, w1 long, w2 long")
+    windows = docs.join(candidates, "rk").mapInArrow(_windows(span, period), "rk long, p int, w1 long, w2 int")
     starts = (
         occurring_twice(windows, ["w1", "w2"])
         .groupBy("rk").agg(F.sort_array(F.collect_list("p")).alias("starts"))
