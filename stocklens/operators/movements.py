@@ -29,7 +29,7 @@ from stocklens.operators.lines import (
     with_doc_type,
     with_partner,
 )
-from stocklens.sources.tables import Tables
+from stocklens.sources.tables import Tables, left_lookup
 
 
 def item_movements(
@@ -98,12 +98,8 @@ def item_movements(
 
 def named_movements(moves: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame:
     """Movements with what the report rules test: places, document type and supplier."""
-    named = moves.join(
-        warehouse_names(t, cfg, "warehouse_id", "warehouse"), "warehouse_id", "left"
-    )
-    named = named.join(
-        warehouse_names(t, cfg, "destination_id", "destination"), "destination_id", "left"
-    )
+    named = left_lookup(moves, warehouse_names(t, cfg, "warehouse_id", "warehouse"), "warehouse_id")
+    named = left_lookup(named, warehouse_names(t, cfg, "destination_id", "destination"), "destination_id")
     named = with_partner(with_doc_type(named, t), t)
     place, goal, partner = (text_key(F.col(c)) for c in ("warehouse", "destination", "partner"))
     sites = (cfg.own, cfg.tql, cfg.dream_cargo, cfg.dsv, cfg.hub)

@@ -72,3 +72,25 @@ def test_pages_bound_a_cell_and_grow_with_pairs(spark):
     ids = {r.item_id: r.list_id for r in items.collect()}
     assert ids[10] == ids[11] and ids[13] is None and ids[14] is None and ids[0] == ids[4]
     assert len(ids) == 11
+
+
+def test_null_ids_spread_over_tasks_and_match_nothing(spark):
+    from stocklens.sources.tables import left_lookup
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 30_000).select(
+            F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"), F.col("id").alias("v")
+        )
+        dim = spark.createDataFrame([(k, f"n{k}") for k in range(5)] + [(None, "null id")], "k long, name string")
+        got = left_lookup(rows, dim, "k")
+        assert got.columns == ["k", "v", "name"]
+        want = rows.join(dim, "k", "left")
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 30_000
+        tasks = got.filter("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 20_000 / 4
+        assert got.filter("k is null and name is not null").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
