@@ -846,6 +846,7 @@ def retail(year: int) -> str:
 
 ORACLE["retail_category_share"] = retail(YEAR)
 ORACLE["sink_full_refresh"] = retail(YEAR)
+ORACLE["sink_versioned_refresh"] = retail(YEAR)
 ORACLE["sink_year_slice"] = f"""
     SELECT *, {YEAR} AS report_year FROM ({retail(YEAR)})
     UNION ALL

@@ -65,7 +65,7 @@ from stocklens.sources.sample import (
     read,
     sample_tables,
 )
-from stocklens.sources.sinks import scratch_dir, write_full, write_year
+from stocklens.sources.sinks import read_versioned, scratch_dir, write_full, write_versioned, write_year
 from stocklens.sources.tables import Tables, of_company, stage
 
 CFG = SAMPLE_CONFIG
@@ -139,6 +139,14 @@ def sink_full_refresh(spark, directory):
     return spark.read.parquet(path)
 
 
+@over_directory
+def sink_versioned_refresh(spark, directory):
+    t, path = sample_tables(spark, directory), scratch_dir(spark)
+    for year in (YEAR - 1, YEAR):
+        write_versioned(retail(t, year), path)
+    return read_versioned(spark, path)
+
+
 @over_directory
 def sink_year_slice(spark, directory):
     t, path = sample_tables(spark, directory), scratch_dir(spark)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+COMMITTED = "_COMMITTED"
+
 
 def write_full(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the whole target; CSV gets a header."""
@@ -25,6 +28,51 @@ def write_year(df: DataFrame, path: str, year_column: str = "report_year") -> No
     )
 
 
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, jvm
+
+
+def _committed_versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the committed version folders below ``path``, oldest first."""
+    fs, target, jvm = _filesystem(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(target) if status.isDirectory()]
+    return sorted(
+        n for n in names
+        if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}/{COMMITTED}"))
+    )
+
+
+def write_versioned(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Replace the table at ``path`` so that no reader ever sees half a refresh.
+
+    The rows go to a new folder ``v=<time>-<id>`` below ``path``; only after the write job
+    has succeeded is an empty ``_COMMITTED`` file created in it. :func:`read_versioned`
+    reads the newest committed folder, so a failing or running write leaves the old
+    version readable. Of the committed versions the newest ``keep`` stay (readers that
+    resolved the one before finish); older ones are deleted. Returns the new folder.
+    """
+    spark = df.sparkSession
+    version = f"{path.rstrip('/')}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version)
+    fs, target, jvm = _filesystem(spark, f"{version}/{COMMITTED}")
+    fs.create(target, False).close()
+    for old in _committed_versions(spark, path)[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{old}"), True)
+    return version
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version written by :func:`write_versioned`; raises if none is."""
+    versions = _committed_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no committed version below {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{versions[-1]}")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name that every executor reaches.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 from types import SimpleNamespace
 
@@ -181,3 +182,27 @@ def test_default_period_is_today(spark):
     assert export_report(t, CFG).count() == 0
     today = transfer_suggestions(t, CFG, CFG.dsv, date.today())
     assert transfer_suggestions(t, CFG, CFG.dsv).count() == today.count()
+
+
+def test_versioned_refresh_is_never_seen_half_done(spark, tmp_path):
+    from pyspark.sql.types import LongType
+
+    from stocklens.sources.sinks import read_versioned, write_versioned
+
+    path = str(tmp_path / "versioned")
+    with pytest.raises(FileNotFoundError):
+        read_versioned(spark, path)
+    write_versioned(spark.range(5), path)
+    first = read_versioned(spark, path)
+    assert first.count() == 5
+    broken = spark.range(3).select(
+        F.when(F.col("id") == 2, F.raise_error(F.lit("lost in the middle"))).otherwise(F.col("id")).cast(LongType()).alias("id")
+    )
+    with pytest.raises(Exception, match="lost in the middle"):
+        write_versioned(broken, path)
+    assert sorted(r.id for r in read_versioned(spark, path).collect()) == list(range(5))
+    for n in (2, 7, 1):
+        write_versioned(spark.range(n), path)
+    assert read_versioned(spark, path).count() == 1
+    committed = [p for p in os.listdir(path) if os.path.exists(os.path.join(path, p, "_COMMITTED"))]
+    assert len(committed) == 2
