@@ -862,6 +862,8 @@ ORACLE["report_row_counts"] = " UNION ALL ".join(
     )
 )
 
+ORACLE["written_report_counts"] = ORACLE["report_row_counts"]
+
 # ---- from one run to the next -----------------------------------------------------------------
 
 NEXT_RUN = """

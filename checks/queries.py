@@ -65,7 +65,14 @@ from stocklens.sources.sample import (
     read,
     sample_tables,
 )
-from stocklens.sources.sinks import read_versioned, scratch_dir, write_full, write_versioned, write_year
+from stocklens.sources.sinks import (
+    read_versioned,
+    scratch_dir,
+    write_counted,
+    write_full,
+    write_versioned,
+    write_year,
+)
 from stocklens.sources.tables import Tables, of_company, stage
 
 CFG = SAMPLE_CONFIG
@@ -172,6 +179,19 @@ def report_row_counts(t):
     return reduce(DataFrame.unionByName, counts)
 
 
+@over_directory
+def written_report_counts(spark, directory):
+    t, folder = sample_tables(spark, directory), scratch_dir(spark)
+    reports = {
+        "retail": retail_category_share(t, CFG, YEAR),
+        "export": export_report(t, CFG, YEAR, AS_OF),
+        "transfers": transfer_suggestions(t, CFG, CFG.dsv, AS_OF),
+        "deals": D.deal_report(t, CFG, AS_OF),
+    }
+    counts = [(name, write_counted(df, f"{folder}/{name}")) for name, df in reports.items()]
+    return spark.createDataFrame(counts, "report string, report_rows long")
+
+
 # ---- lines ------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 COMMITTED = "_COMMITTED"
 
@@ -28,6 +29,17 @@ def write_year(df: DataFrame, path: str, year_column: str = "report_year") -> No
     )
 
 
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """:func:`write_full` of ``df``, returning how many rows were written.
+
+    The count is observed while the rows are written (``DataFrame.observe``): the report
+    is computed once, not a second time to be counted.
+    """
+    seen = Observation("written")
+    write_full(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt)
+    return int(seen.get["rows"])
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -206,3 +206,13 @@ def test_versioned_refresh_is_never_seen_half_done(spark, tmp_path):
     assert read_versioned(spark, path).count() == 1
     committed = [p for p in os.listdir(path) if os.path.exists(os.path.join(path, p, "_COMMITTED"))]
     assert len(committed) == 2
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    from stocklens.sources.sinks import write_counted
+
+    df = spark.range(0, 1000, numPartitions=4).filter("id % 3 = 0")
+    assert write_counted(df, str(tmp_path / "a")) == 334
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 334
+    empty = spark.range(0).filter("id > 0")
+    assert write_counted(empty, str(tmp_path / "b")) == 0
