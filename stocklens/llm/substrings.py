@@ -15,7 +15,7 @@ keyed by 96 bits of a 128-bit hash of their 128-bit word hashes.
 
 Spark does the counting: anchors go through one exchange by hash and a sorted stream keeps
 those whose hash comes twice or more; windows near a repeated anchor do the same by their
-128-bit hash. The verdicts reach the texts by joins on a row key, so that each row is judged
+96-bit key. The verdicts reach the texts by joins on a row key, so that each row is judged
 by itself, repeated rows and ids too. Tasks see one document at a time; no group is gathered
 in one place, though the rows of one hash are streamed by one task.
 """
