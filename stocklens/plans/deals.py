@@ -38,6 +38,7 @@ from stocklens.operators.stock import (
 )
 from stocklens.operators.suppliers import named_suppliers, with_suppliers
 from stocklens.plans.items import category_dimension, own_key, related_key, report_items
+from stocklens.sources.sinks import Scratch
 from stocklens.sources.tables import Tables, stage
 
 SALES_DAYS = (90, 30)
@@ -346,15 +347,17 @@ def unordered_deal_report(
     as_of: date | None = None,
     cost_mode: str = "sum",
     fix_header: bool = False,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Rows of the report with their sort keys; without ``as_of``, as of today.
 
     Movements and qualifying items are staged: both are read more than once and
-    are far smaller than the lines they come from.
+    are far smaller than the lines they come from. Given a ``Scratch``, they are
+    staged in its folder and deleted with it; act on the report inside its block.
     """
     as_of = as_of or date.today()
-    moves = stage(deal_movements(t, cfg, as_of))
-    main = stage(deal_main(t, cfg, as_of, moves, cost_mode))
+    moves = stage(deal_movements(t, cfg, as_of), scratch=scratch)
+    main = stage(deal_main(t, cfg, as_of, moves, cost_mode), scratch=scratch)
     listed = with_supplier_lists(deal_detail(main, cfg), t, cfg, moves)
     rows = deal_rows(main, listed, cfg, fix_header)
     return rows.select(*DETAIL_COLUMNS, "block", "rank", "is_detail")
@@ -379,9 +382,10 @@ def deal_report(
     as_of: date | None = None,
     cost_mode: str = "sum",
     fix_header: bool = False,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
-    """The report in its output order."""
-    return in_report_order(unordered_deal_report(t, cfg, as_of, cost_mode, fix_header))
+    """The report in its output order; ``scratch`` as in :func:`unordered_deal_report`."""
+    return in_report_order(unordered_deal_report(t, cfg, as_of, cost_mode, fix_header, scratch))
 
 
 def deal_export(

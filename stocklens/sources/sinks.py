@@ -85,6 +85,34 @@ def read_versioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{versions[-1]}")
 
 
+class Scratch:
+    """A scratch folder that one run owns: staged frames go below it, and it is deleted at the end.
+
+    ``with Scratch(spark) as scratch:`` build a report with ``scratch=scratch`` and write or
+    collect it inside the block; leaving the block deletes the folder and everything staged
+    in it through the file system API, also after an error. Frames staged there cannot be
+    read after the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = scratch_dir(spark)
+        self.folders: list[str] = []
+
+    def path(self) -> str:
+        """A new folder below the root, recorded."""
+        self.folders.append(f"{self.root}/{len(self.folders) + 1}")
+        return self.folders[-1]
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *failure) -> None:
+        fs, target, _ = _filesystem(self.spark, self.root)
+        if fs.exists(target):
+            fs.delete(target, True)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name that every executor reaches.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stocklens.sources.sinks import scratch_dir
+from stocklens.sources.sinks import Scratch, scratch_dir
 
 # Columns each table must offer; other columns are ignored.
 SCHEMAS: dict[str, str] = {
@@ -126,14 +126,15 @@ def of_company(df: DataFrame, company: int) -> DataFrame:
     return df.filter(F.col("company") == company)
 
 
-def stage(df: DataFrame, name: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Write an intermediate that several results read, under a view name if given.
 
     It becomes a Parquet table in the shared scratch folder and is read back: the plan
     ends there, and lost executors cost nothing that is written. Every call writes anew
     from the inputs of that moment, so nothing stale can be served; nothing is cached.
+    With ``scratch`` the table goes below that owned folder and is deleted with it.
     """
-    path = scratch_dir(df.sparkSession)
+    path = scratch.path() if scratch else scratch_dir(df.sparkSession)
     df.write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     if name:

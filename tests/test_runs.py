@@ -216,3 +216,24 @@ def test_rows_are_counted_while_written(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a")).count() == 334
     empty = spark.range(0).filter("id > 0")
     assert write_counted(empty, str(tmp_path / "b")) == 0
+
+
+def test_owned_scratch_is_empty_after_the_report(spark, tmp_path):
+    from checks.queries import CFG
+    from stocklens.sources.sample import AS_OF, sample_tables
+    from stocklens.sources.sinks import Scratch
+
+    t = sample_tables(spark, "/root/testdata/sf0.001")
+    with Scratch(spark) as scratch:
+        report = deal_report(t, CFG, AS_OF, scratch=scratch)
+        assert len(scratch.folders) == 2
+        root = scratch.root.removeprefix("file:")
+        assert os.path.isdir(root)
+        n = report.count()
+    assert not os.path.exists(root)
+    assert n == deal_report(t, CFG, AS_OF).count()
+    with pytest.raises(RuntimeError):
+        with Scratch(spark) as failing:
+            spark.range(3).write.parquet(failing.path())
+            raise RuntimeError("stop")
+    assert not os.path.exists(failing.root.removeprefix("file:"))
