@@ -264,6 +264,13 @@ ORACLE["collated_key_join"] = """
       ON lower(strip_accents(rtrim(s.loud))) = lower(strip_accents(n.p_name))
     GROUP BY n.p_name"""
 
+ORACLE["unicode_key_join"] = """
+    SELECT n.p_name AS name, count(*) AS items, max(s.price) AS top_price
+    FROM (SELECT DISTINCT p_name FROM part) n
+    JOIN (SELECT translate(upper(p_name), 'AEIOU', 'ÁÉÍÓÚ') || '  ' AS loud, p_retailprice AS price FROM part) s
+      ON lower(strip_accents(rtrim(s.loud))) = lower(strip_accents(n.p_name))
+    GROUP BY n.p_name"""
+
 ORACLE["related_item"] = query(
     "",
     """SELECT a.code, r.code AS related_code, r.net AS related_net_price

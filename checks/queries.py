@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.dates import entry_clock
 from stocklens.functions.numbers import number_text, or_zero, to_decimal
-from stocklens.functions.text import matches_any, normalise_key, same_text, split_list
+from stocklens.functions.text import matches_any, normalise_key, same_text, same_text_collated, split_list
 from stocklens.operators import lines as L
 from stocklens.operators import movements as M
 from stocklens.operators import snapshots as N
@@ -309,6 +309,19 @@ def collated_key_join(spark, directory):
     return grouped
 
 
+@over_directory
+def unicode_key_join(spark, directory):
+    """Names joined to shouted forms with accents on their vowels, under a Unicode collation."""
+    part = read(spark, directory, "part")
+    names = part.select(F.col("p_name").alias("name")).distinct()
+    shouted = part.select(
+        F.concat(F.translate(F.upper("p_name"), "AEIOU", "ÁÉÍÓÚ"), F.lit("  ")).alias("loud_name"),
+        F.col("p_retailprice").alias("price"),
+    )
+    joined = names.join(shouted, same_text_collated(names["name"], shouted["loud_name"]))
+    return joined.groupBy("name").agg(F.count("*").alias("items"), F.max("price").alias("top_price"))
+
+
 @over_tables
 def related_item(t):
     found = items_with_related(t)

@@ -94,3 +94,27 @@ def test_null_ids_spread_over_tasks_and_match_nothing(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_collated_text_folds_accents_beyond_greek(spark):
+    from stocklens.functions.text import collated_text, same_text, same_text_collated
+
+    pairs = [("Café", "cafe "), ("Müller", "MULLER"), ("Straße", "strasse"), ("ΆΛΦΑ", "αλφα"), ("τέλος", "ΤΕΛΟΣ"),
+             ("Café", "caffe"), (None, "x")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [(r.c, r.t) for r in df.select(same_text_collated(F.col("a"), F.col("b")).alias("c"),
+                                         same_text(F.col("a"), F.col("b")).alias("t")).collect()]
+    assert [c for c, _ in got] == [True, True, True, True, True, False, None]
+    assert [t for _, t in got][:3] == [False, False, False]      # the Greek table alone misses them
+    keys = df.select(collated_text(F.col("a")).alias("k")).filter("k is not null").distinct().count()
+    assert keys == 5
+
+
+def test_collated_join_is_a_sort_merge_join(spark):
+    from stocklens.functions.text import same_text_collated
+
+    a = spark.createDataFrame([("Café",)], "x string")
+    b = spark.createDataFrame([("cafe",)], "y string")
+    joined = a.join(b, same_text_collated(F.col("x"), F.col("y")))
+    assert joined.count() == 1
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
