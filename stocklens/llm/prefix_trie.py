@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stocklens.llm.shared import written
+
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 WORDS = r"[^\x20\x09-\x0D]+"
 NODE_SCHEMA = (
@@ -286,7 +288,9 @@ def prefix_trie(conversations: DataFrame, shards: int | None = None) -> DataFram
     spark = conversations.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     convs = rebuilt(conversations.select("conv_id", "turn", "role", "text"))
-    ends = (
+    # written once: the range partitioner samples its input, which would otherwise run the
+    # rebuild and the stream again; distinct sequences of ids are far smaller than the texts
+    ends = written(
         convs.select("seq", "conv_id").repartition(shards, "seq").sortWithinPartitions("seq", "conv_id")
         .mapInArrow(_ends, "seq array<struct<t1:long,t2:long,w:long>>, n_end long, min_end long, ends_sha256 string")
     )
