@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def session_today(spark: SparkSession) -> date:
+    """Today in the session's time zone (``current_date()``), the default of every ``as_of``.
+
+    The date of the query engine, as a database's own date would be, not the clock of the
+    machine the driver runs on.
+    """
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
 def in_last_days(ts: Column, as_of: date, days: int) -> Column:
     """The day of ``ts`` lies 0 to ``days`` days before ``as_of``; later days are out.
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocklens.functions.dates import session_today
 from stocklens.config import ReportConfig
 from stocklens.functions.numbers import add_up, or_zero, to_decimal, to_whole
 from stocklens.functions.text import in_texts, matches_any, text_key
@@ -355,7 +356,7 @@ def unordered_deal_report(
     are far smaller than the lines they come from. Given a ``Scratch``, they are
     staged in its folder and deleted with it; act on the report inside its block.
     """
-    as_of = as_of or date.today()
+    as_of = as_of or session_today(t.lines.sparkSession)
     moves = stage(deal_movements(t, cfg, as_of), scratch=scratch)
     main = stage(deal_main(t, cfg, as_of, moves, cost_mode), scratch=scratch)
     listed = with_supplier_lists(deal_detail(main, cfg), t, cfg, moves)

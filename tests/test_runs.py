@@ -237,3 +237,18 @@ def test_owned_scratch_is_empty_after_the_report(spark, tmp_path):
             spark.range(3).write.parquet(failing.path())
             raise RuntimeError("stop")
     assert not os.path.exists(failing.root.removeprefix("file:"))
+
+
+def test_default_date_is_the_session_date(spark):
+    from datetime import datetime
+    from zoneinfo import ZoneInfo
+
+    from stocklens.functions.dates import session_today
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Pacific/Kiritimati", "Pacific/Pago_Pago"):          # +14 and -11 hours
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert session_today(spark) == datetime.now(ZoneInfo(zone)).date()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
