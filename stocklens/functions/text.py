@@ -65,12 +65,13 @@ def _fold(text: str) -> str:
 
 
 def normalise_key(c: Column) -> Column:
-    """Key of a row between two exports: trimmed text, '123.0' and '00123' become '123'.
+    """Key of a row between two exports: stripped text, '123.0' and '00123' become '123'.
 
-    Empty texts and null tokens become NULL; a number that is not whole, or that
-    does not fit 64 bits, keeps its text.
+    White space of any kind (blanks, tabs, line breaks, Unicode spaces) is stripped from both
+    ends. Empty texts and null tokens become NULL; a number that is not whole, or that does
+    not fit 64 bits, keeps its text.
     """
-    text = F.trim(c.cast("string"))
+    text = F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", "")
     clean = F.when(~text.isin(*NULL_TOKENS), text)
     # 64-bit texts of digits go straight to bigint: a double would lose digits past 2^53
     digits = F.when(clean.rlike(r"^[+-]?[0-9]+$"), clean.try_cast("bigint"))

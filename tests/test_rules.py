@@ -105,6 +105,12 @@ def test_keys(spark):
     assert got == want
 
 
+def test_keys_lose_every_white_space_around_them(spark):
+    texts = ["\t00123\n", "\r\n AB-1\t", "\u00a0nan\u2003", " \t\n ", "A B\tC"]
+    got = mapped(values(spark, "string", *texts), normalise_key(F.col("v")))
+    assert got == ["123", "AB-1", None, None, "A B\tC"]
+
+
 def test_tokens(spark):
     df = values(spark, "string", "A, B,,C", None, "")
     assert mapped(df, split_list(F.col("v"))) == [["A", "B", "C"], None, []]
