@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SPACE_CUT = re.compile(r"(?<=\S) (?=\S)")
+
 from stocklens.llm.shared import texts_of
 
 CACHED_CHUNKS = 1_000_000
@@ -152,12 +155,11 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers.
 
-        No piece reaches across a single space, which belongs to what follows; so a text
-        without double spaces is cut there, and what follows a space is looked up as a whole.
+        A space with something other than white space on both sides belongs to the piece
+        that follows and no piece reaches across it; the text is cut only at such spaces, and
+        what follows one is looked up as a whole. Runs of white space are never cut.
         """
-        if "  " in text:
-            return self.encode_chunk(text)
-        first, *rest = text.split(" ")
+        first, *rest = SPACE_CUT.split(text)
         known = self.chunks
         packed = list(map(known.get, rest))
         if None in packed:

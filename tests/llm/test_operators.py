@@ -148,6 +148,9 @@ def test_encoding_equals_the_library(spark):
         assert row.n_tokens == len(ids) // 4 and row.ids_sha256 == hashlib.sha256(ids).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     encoder, tokens = Encoder(ranks, pattern), list(ranks)
+    for text in ["a\n \nb", "a\n b", "\t x", "x \t", "a  b", "a \u00a0b", " a", "a ", "\n \n", "x\u3000 y z"]:
+        assert encoder.encode(text) == encoder.encode_chunk(text)          # cuts never change pieces
+        assert encoder.encode(text) == np.array(known.encode_ordinary(text), "<u4").tobytes()
     for _ in range(2000):
         data = b"".join(r.choice(tokens) for _ in range(r.randrange(1, 5)))
         assert encoder.encode_piece(data) == known._encode_single_piece(data)
