@@ -7,7 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stocklens.operators.numbering import numbered
-from stocklens.operators.suppliers import supplier_pages, supplier_spread, supplier_wide
+from stocklens.operators.suppliers import (
+    list_width,
+    supplier_columns,
+    supplier_list,
+    supplier_pages,
+    supplier_spread,
+    supplier_wide,
+    with_list_size,
+)
 
 
 def pairs_with_a_hot_description(spark, hot: int = 3000):
@@ -74,6 +82,26 @@ def test_pages_bound_a_cell_and_grow_with_pairs(spark):
     assert len(ids) == 11
 
 
+def test_what_follows_from_a_list_is_computed_once_per_list(spark):
+    pairs = pairs_with_a_hot_description(spark, hot=30)
+    seen = []
+
+    def counted(lists):
+        seen.append(lists.count())
+        return supplier_columns(with_list_size(lists), 2)
+
+    got = supplier_list(pairs, counted)
+    assert seen == [4]   # descriptions, not the eleven items
+    plain = supplier_list(pairs)
+    want = supplier_columns(with_list_size(plain), 2)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count() == 11
+    width = list_width(supplier_list(pairs, with_list_size), sizes="tokens")
+    assert width.collect() == list_width(plain).collect() and width.first()[0] == 30
+    optimized = width._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("Join") < optimized.index("split(")   # the split is below the items' join
+
+
 def test_null_ids_spread_over_tasks_and_match_nothing(spark):
     from stocklens.sources.tables import left_lookup
 
