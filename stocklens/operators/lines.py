@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +26,16 @@ def document_lines(
     destination: bool = False,
     keep_empty: bool = False,
     flags: Mapping[str, Column] | None = None,
+    headers: Callable[[DataFrame], DataFrame] | None = None,
+    line_values: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Lines of the documents that meet ``where``, with their header's columns.
 
-    ``flags`` are further columns computed on the header.
+    ``flags`` are further columns computed on the header. ``headers`` filters the headers
+    or looks up names for them, once per document, before they meet their lines.
+    ``line_values`` are computed from columns of the line alone, before lines are
+    exchanged, so that only the values travel; a document without lines has them as of
+    a line of NULLs.
 
     ``keep_empty`` also returns documents without lines. They come from an anti
     join on the distinct document ids instead of an outer join, so that the
@@ -64,6 +70,9 @@ def document_lines(
         # Only a join of two exchanges can be split at run time, and a document may be hot.
         docs = docs.withColumn("doc_id", F.coalesce("side_id", "doc_id")).drop("side_id")
 
+    if headers:
+        docs = headers(docs)
+
     columns = {
         "findoc": "doc_id",
         "company": "line_company",
@@ -83,10 +92,14 @@ def document_lines(
     if cfg.supplier_on_line:
         columns["supplier"] = "line_supplier_id"
     lines = t.lines.select(*[d(k).alias(v) for k, v in columns.items()])
+    values = dict(line_values or {})
 
-    found = docs.join(lines, "doc_id", "inner")
+    found = docs.join(lines.withColumns(values) if values else lines, "doc_id", "inner")
     if keep_empty:
         without = docs.join(lines.select("doc_id").distinct(), "doc_id", "left_anti")
+        if values:
+            nulls = {f.name: F.lit(None).cast(f.dataType) for f in lines.schema if f.name != "doc_id"}
+            without = without.withColumns(nulls).withColumns(values)
         found = found.unionByName(without, allowMissingColumns=True)
 
     partner = d("doc_partner_id")
@@ -154,6 +167,13 @@ def foreign_unit_price(cfg: ReportConfig) -> Column:
 
 # ---- lookups ----------------------------------------------------------------------------------
 
+# Columns that tell rows apart and are shown anyway: rows with a NULL id are dealt over tasks by them
+SALT_COLUMNS = ("doc_no", "item_code", "item_id", "quantity")
+
+
+def _salt_by(df: DataFrame) -> list[str]:
+    return [c for c in SALT_COLUMNS if c in df.columns]
+
 
 def with_item(df: DataFrame, t: Tables) -> DataFrame:
     items = t.items.select(
@@ -185,11 +205,11 @@ def warehouse_names(t: Tables, cfg: ReportConfig, as_key: str, as_name: str) ->
 
 
 def with_category(df: DataFrame, t: Tables) -> DataFrame:
-    return lookup(df, t.categories, "mtrcategory", "name", "category_id", "category")
+    return lookup(df, t.categories, "mtrcategory", "name", "category_id", "category", _salt_by(df))
 
 
 def with_maker(df: DataFrame, t: Tables) -> DataFrame:
-    return lookup(df, t.makers, "mtrmanfctr", "name", "maker_id", "maker")
+    return lookup(df, t.makers, "mtrmanfctr", "name", "maker_id", "maker", _salt_by(df))
 
 
 def with_warehouse(df: DataFrame, t: Tables, cfg: ReportConfig, how: str = "left") -> DataFrame:
@@ -198,20 +218,24 @@ def with_warehouse(df: DataFrame, t: Tables, cfg: ReportConfig, how: str = "left
 
 def with_branch(df: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame:
     dim = of_company(t.branches, cfg.company)
-    return lookup(df, dim, "branch", "name", "branch_id", "branch")
+    return lookup(df, dim, "branch", "name", "branch_id", "branch", _salt_by(df))
 
 
 def with_doc_type(df: DataFrame, t: Tables) -> DataFrame:
-    return lookup(df, t.doc_types, "fprms", "name", "doc_type_id", "doc_type")
+    return lookup(df, t.doc_types, "fprms", "name", "doc_type_id", "doc_type", _salt_by(df))
 
 
 def with_country(df: DataFrame, t: Tables) -> DataFrame:
-    return lookup(df, t.countries, "country", "name", "country_id", "country")
+    return lookup(df, t.countries, "country", "name", "country_id", "country", _salt_by(df))
+
+
+def with_period(df: DataFrame, t: Tables) -> DataFrame:
+    return lookup(df, t.periods, "period", "name", "period_id", "period", _salt_by(df))
 
 
 def with_state(df: DataFrame, t: Tables, cfg: ReportConfig) -> DataFrame:
     dim = t.states.filter(active(t.states, cfg.company))
-    return lookup(df, dim, "finstates", "name", "state_id", "state")
+    return lookup(df, dim, "finstates", "name", "state_id", "state", _salt_by(df))
 
 
 # ---- kinds of lines ---------------------------------------------------------------------------
@@ -223,14 +247,31 @@ def purchase_lines(t: Tables, cfg: ReportConfig, *, exclude_type: bool = True) -
     The excluded type is tested on the type's own table: a document of no or an
     unknown type is dropped with it. ``exclude_type=False`` keeps every type.
     """
-    found = document_lines(t, cfg, is_purchase(cfg), keep_empty=True)
     types = dimension(t.doc_types, "fprms", "name", "doc_type_id", "doc_type")
     if exclude_type:
         types = types.filter(F.col("doc_type_id") != cfg.excluded_purchase_type)
+
+    def of_known_type(docs: DataFrame) -> DataFrame:
+        return docs.join(types.select("doc_type_id"), "doc_type_id", "left_semi")
+
+    values = {
+        "quantity": or_zero(F.col("qty1")),
+        "open_quantity": open_quantity(),
+        "home_price": home_price(),
+    }
+    found = document_lines(
+        t,
+        cfg,
+        is_purchase(cfg),
+        keep_empty=True,
+        headers=of_known_type if exclude_type else None,
+        line_values=values,
+    )
+    # names of large dimensions first, on narrow rows, the widest last; then the small ones
+    found = with_item(with_partner(with_warehouse(found, t, cfg), t), t)
     found = found.join(types, "doc_type_id", "inner" if exclude_type else "left")
-    found = lookup(found, t.periods, "period", "name", "period_id", "period")
-    found = with_warehouse(found, t, cfg)
-    found = with_maker(with_category(with_partner(with_item(found, t), t), t), t)
+    found = with_maker(with_category(with_period(found, t), t), t)
+    foreign = F.col("currency") != cfg.home_currency
     return found.select(
         "period",
         F.to_date("doc_time").alias("doc_date"),
@@ -243,27 +284,37 @@ def purchase_lines(t: Tables, cfg: ReportConfig, *, exclude_type: bool = True) -
         "item_code",
         "description",
         "item_id",
-        or_zero(F.col("qty1")).alias("quantity"),
-        open_quantity().alias("open_quantity"),
+        "quantity",
+        "open_quantity",
         or_zero(F.col("unit_price")).alias("price"),
         or_zero(F.col("weight")).alias("weight"),
         or_zero(F.col("line_value")).alias("line_value"),
         "category",
         "maker",
         "currency",
-        euro_unit_price(cfg).alias("euro_price"),
+        F.when(foreign, F.col("home_price")).otherwise(or_zero(F.col("unit_price"))).alias("euro_price"),
         "warehouse",
     )
 
 
 def sales_lines(t: Tables, cfg: ReportConfig) -> DataFrame:
     """Sales lines of known makers and warehouses."""
-    found = document_lines(t, cfg, is_sale(cfg, cfg.sales_types))
+    def named(docs: DataFrame) -> DataFrame:
+        """Customer and branch of the header: looked up once per document, not once per line."""
+        docs = with_partner(docs.withColumn("partner_id", F.col("doc_partner_id")), t)
+        return with_branch(docs.drop("partner_id"), t, cfg)
+
+    found = document_lines(
+        t,
+        cfg,
+        is_sale(cfg, cfg.sales_types),
+        headers=named,
+        line_values={"quantity": or_zero(F.col("qty1"))},
+    )
     found = with_warehouse(found, t, cfg, "inner")
     found = with_item(found, t)
     makers = dimension(t.makers, "mtrmanfctr", "name", "maker_id", "maker")
-    found = found.join(makers, "maker_id", "inner")
-    found = with_branch(with_category(with_partner(found, t), t), t, cfg)
+    found = with_category(found.join(makers, "maker_id", "inner"), t)
     return found.select(
         F.to_date("doc_time").alias("doc_date"),
         entry_clock(F.col("entry_time")).alias("entry_clock"),
@@ -277,7 +328,7 @@ def sales_lines(t: Tables, cfg: ReportConfig) -> DataFrame:
         "description",
         "category",
         "maker",
-        or_zero(F.col("qty1")).alias("quantity"),
+        "quantity",
         "doc_type_id",
     )
 
@@ -290,7 +341,7 @@ def transfer_lines(t: Tables, cfg: ReportConfig, types: tuple[int, ...]) -> Data
     found = with_warehouse(found, t, cfg)
     names = warehouse_names(t, cfg, "destination_id", "destination")
     found = found.join(names, "destination_id", "left")
-    found = lookup(found, t.periods, "period", "name", "period_id", "period")
+    found = with_period(found, t)
     found = with_doc_type(with_item(found, t), t)
     return found.select(
         "period",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,24 +153,31 @@ def dimension(df: DataFrame, key: str, name: str, as_key: str, as_name: str) ->
     return df.select(F.col(key).alias(as_key), F.col(name).alias(as_name)).distinct()
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, name: str, on: str, as_: str) -> DataFrame:
+def lookup(
+    df: DataFrame, dim: DataFrame, key: str, name: str, on: str, as_: str, salt_by: Sequence[str] = ()
+) -> DataFrame:
     """Add the name of an id column, NULL where the dimension lacks the id.
 
     No broadcast hint: a dimension under the session's broadcast threshold is
     broadcast, a larger one is joined by shuffle, NULL ids spread (:func:`left_lookup`).
     """
-    return left_lookup(df, dimension(dim, key, name, on, as_), on)
+    return left_lookup(df, dimension(dim, key, name, on, as_), on, salt_by=salt_by)
 
 
-def left_lookup(df: DataFrame, dim: DataFrame, on: str, spread: int = 64) -> DataFrame:
+def left_lookup(
+    df: DataFrame, dim: DataFrame, on: str, spread: int = 64, *, salt_by: Sequence[str] = ()
+) -> DataFrame:
     """``df`` left-joined with ``dim`` on the column ``on``, rows with a NULL ``on`` spread out.
 
     A NULL id matches nothing, but a shuffled join would still send all such rows to the
     task of one hash. Here they carry a salt from 1 to ``spread`` (a hash of the row), while
     every other row and the dimension carry 0: NULL rows go to ``spread`` tasks, unmatched,
     in the same single pass over ``df``. Columns and rows are those of the plain left join.
+    The hash is taken over ``salt_by``, by default over all columns: then none of them can
+    be pruned before the join, and every exchange below it carries them all.
     """
-    salt = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(spread)) + 1).otherwise(F.lit(0))
+    hashed = F.xxhash64(*(salt_by or df.columns))
+    salt = F.when(F.col(on).isNull(), F.pmod(hashed, F.lit(spread)) + 1).otherwise(F.lit(0))
     # 0 for every id, written so that the optimizer cannot fold it away from the join keys
     zero = F.when(F.col(on).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
     joined = df.withColumn("_null_salt", salt).join(dim.withColumn("_null_salt", zero), [on, "_null_salt"], "left")

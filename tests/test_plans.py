@@ -104,6 +104,28 @@ def test_scans_are_pruned_and_filtered(spark, t):
     assert "l_partkey:bigint,l_suppkey:bigint" in columns
 
 
+@pytest.mark.parametrize(
+    ("name", "unread"),
+    [
+        ("sales_lines", {"l_discount", "l_returnflag", "l_linestatus", "l_extendedprice"}),
+        ("purchase_lines", {"l_discount"}),
+    ],
+)
+def test_line_exchanges_carry_only_what_is_shown(spark, name, unread):
+    """Salts of NULL ids hash a few shown columns: a hash of all would keep every column alive."""
+    seen = re.findall(r"ReadSchema: struct<([^>]*l_partkey[^>]*)>", plan(QUERIES[name](spark, DIRECTORY)))
+    assert seen and not any(c in columns for c in unread for columns in seen)
+
+
+def test_customers_and_branches_are_looked_up_per_document(spark):
+    """Both joins of the sales query are below the one of headers and lines."""
+    text = QUERIES["sales_lines"](spark, DIRECTORY)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join " in line]
+    depth = {key: max(len(j) - len(j.lstrip(" :+-")) for j in joins if key in j)
+             for key in ("(doc_id#", "(branch_id#", "(partner_id#")}
+    assert depth["(branch_id#"] > depth["(doc_id#"] and depth["(partner_id#"] > depth["(doc_id#"]
+
+
 def test_sums_are_taken_before_the_shuffle(t):
     text = plan(stock_position(t.stock, CFG))
     assert "partial_sum" in text and text.count("Exchange") == 1
