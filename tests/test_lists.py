@@ -62,6 +62,18 @@ def test_wide_columns_come_from_the_data(spark):
     assert long.count() == 3000 + 2 + 1
 
 
+def test_wide_columns_are_read_from_one_array_in_the_order_of_places(spark):
+    pairs = pairs_with_a_hot_description(spark, hot=40)
+    wide = supplier_wide(pairs)
+    assert "pivotfirst" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    places = {(r.description_key, r.place): r.supplier for r in supplier_spread(pairs).collect()}
+    keys = {0: "hot item", 4: "hot item", 10: "cold", 11: "cold", 12: "cold", 13: None, 14: "no name", 15: "ψαρι"}
+    rows = {r.item_id: r for r in wide.collect()}
+    assert len(rows) == wide.count() == 11
+    for item, key in keys.items():
+        assert [rows[item][f"supplier_{i}"] for i in range(1, 41)] == [places.get((key, i)) for i in range(1, 41)]
+
+
 def test_width_over_the_bound_raises_and_cuts_nothing(spark):
     with pytest.raises(ValueError, match="3000 suppliers"):
         supplier_wide(pairs_with_a_hot_description(spark), max_width=2999)
