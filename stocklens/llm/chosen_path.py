@@ -8,8 +8,8 @@ J per coordinate. Nodes of at most ``leaf`` records are compared exhaustively, b
 signatures first and then on the full sets; larger ones branch again.
 
 A node that stays large holds either one tight group or a loose family. So the
-records of a node that is large below the first level are also compared with a few pivot
-records, and links found so far are joined into components. Links within a component change
+records of a large node are also compared with a few pivot
+records, where signatures agree, and links found so far are joined into components. Links within a component change
 no class: a node of one component is done, and where few records are outside the
 largest component, only they are compared with all. What is left branches on. Nodes of the first two levels choose two coordinates each; deeper
 ones about 1/threshold, so that work per level does not grow for families below the
@@ -33,6 +33,7 @@ from stocklens.llm.shared import texts_of, written
 from stocklens.llm.shingles import shingle_sets, signatures
 
 SIGNATURE = 128
+FILTER_WORDS = 1 << 18  # 64-bit words of the filter of ids
 PIVOTS = 4  # records of a large node that all its records are compared with
 WIDE_LEVELS = 2  # levels at which a node chooses two coordinates
 
@@ -61,21 +62,22 @@ def near_duplicates(
     )
     base = written(
         docs.mapInArrow(
-            _describe(words), "doc_id long, n_shingles long, set_key binary, sig array<int>"
+            _describe(words, _roots(trees)),
+            "doc_id long, n_shingles long, set_key binary, first array<int>, sig array<short>",
         )
     )
     reps = written(
         base.filter("set_key is not null and doc_id is not null")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"), F.first("sig").alias("sig"))
     )
-    edges = _links(docs, reps.select("rep", "sig"), words, percent, trees, leaf)
+    edges = _links(docs, reps.select("rep", "first", "sig"), words, percent, trees, leaf)
     classes = connected_components(edges)
     named = reps.join(classes, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("component_id")
     )
     return (
-        base.drop("sig")
+        base.drop("first", "sig")
         .join(named, "set_key", "left")
         .select(
             "doc_id",
@@ -88,7 +90,16 @@ def near_duplicates(
     )
 
 
-def _describe(words: int):
+def _roots(trees: int) -> list[int]:
+    """The coordinates by which the roots branch."""
+    return random.Random(5).sample(range(SIGNATURE), 2 * trees)
+
+
+def _describe(words: int, roots: list[int]):
+    def arrays(counts: np.ndarray, values: np.ndarray) -> pa.ListArray:
+        offsets = np.concatenate(([0], np.cumsum(counts * values.shape[1])))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.ravel()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(batches, "text"):
             ids = batch.column(0)
@@ -97,7 +108,7 @@ def _describe(words: int):
                 part = list(shingle_sets(texts[lo : lo + 512], words))
                 full = [s for s in part if len(s)]
                 sig = signatures(full, SIGNATURE) if full else np.empty((0, SIGNATURE), np.int32)
-                lengths = [SIGNATURE if len(s) else 0 for s in part]
+                filled = np.array([len(s) > 0 for s in part], np.int64)
                 keys = [
                     hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
                     for s in part
@@ -107,11 +118,11 @@ def _describe(words: int):
                         ids.slice(lo, len(part)),
                         pa.array([len(s) for s in part], pa.int64()),
                         pa.array(keys, pa.binary()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(sig.ravel())
-                        ),
+                        arrays(filled, np.ascontiguousarray(sig[:, roots])),
+                        # half of each value: below the roots a node has few records to part
+                        arrays(filled, (sig & 0xFFFF).astype(np.uint16).view(np.int16)),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "sig"],
+                    names=["doc_id", "n_shingles", "set_key", "first", "sig"],
                 )
 
     return run
@@ -121,10 +132,10 @@ def _links(
     docs: DataFrame, reps: DataFrame, words: int, percent: int, trees: int, leaf: int
 ) -> DataFrame:
     """Confirmed links (a, b) that connect all records which links connect."""
-    root = random.Random(5).sample(range(SIGNATURE), 2 * trees)
-    children = F.array(*(_child(F.lit(c), c) for c in root))
+    children = F.transform("first", lambda value, k: F.xxhash64(k, value))
     rows = _with_component(reps.select("rep", F.explode(children).alias("node")), None)
-    sets, edges, known, groups, level = None, None, None, [], 1
+    reps = reps.select("rep", "sig")
+    sets, edges, known, groups, level, compared = None, None, None, [], 1, False
     while True:
         live = written(_impure(rows))
         small = (F.col("n") <= leaf) | (F.col("rest") <= leaf)
@@ -133,24 +144,49 @@ def _links(
         if sets is None:
             pool = groups[0].select(F.explode("members").alias("rep")).unionByName(big.select("rep"))
             sets = written(
-                docs.join(pool.distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
+                _likely(docs, "doc_id", pool, "rep")
+                .join(pool.distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
                 .dropDuplicates(["doc_id"])  # here it needs no exchange after the join's
                 .mapInArrow(_sets(words), "rep long, members binary")
             )
         if big.isEmpty():
             break
-        if level > 1:  # the root's children are mostly families that one more branching parts
-            stars = written(_confirmed(_stars(big, reps), sets, percent))
+        if not compared:  # what pivots connect is done, or nearly, before anything branches
+            stars = written(_confirmed(_stars(big, reps, percent), sets, percent))
             edges = stars if edges is None else edges.unionByName(stars)
             known = connected_components(edges)
-        level += 1
-        rows = _children(big.select("node", "rep"), reps, known, level, percent)
+            rows = _with_component(big.select("node", "rep"), known)
+        else:
+            level += 1
+            rows = _children(big.select("node", "rep"), reps, known, level, percent)
+        compared = not compared
     solved = _solved(groups, sets, known, percent)
     return solved if edges is None else solved.unionByName(edges)
 
 
-def _child(node: Column, coordinate: Column | int) -> Column:
-    index = F.lit(coordinate + 1) if isinstance(coordinate, int) else coordinate + 1
+def _likely(rows: DataFrame, id_column: str, pool: DataFrame, pool_column: str) -> DataFrame:
+    """The rows whose id is in the pool, and few others: those whose bit the pool's ids set.
+
+    The filter has a fixed size and is broadcast, so most texts or sets outside the pool
+    are not shuffled to be joined with it; the exact join follows.
+    """
+
+    def word(key: str) -> Column:
+        return F.pmod(F.shiftright(F.xxhash64(key), 6), F.lit(FILTER_WORDS))
+
+    def bit(key: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64({key}), 64) as int))")
+
+    bits = pool.groupBy(word(pool_column).alias("word")).agg(F.bit_or(bit(pool_column)).alias("bits"))
+    return (
+        rows.join(F.broadcast(bits), word(id_column) == F.col("word"))
+        .filter(F.col("bits").bitwiseAND(bit(id_column)) != 0)
+        .select(*rows.columns)
+    )
+
+
+def _child(node: Column, coordinate: Column) -> Column:
+    index = coordinate + 1
     return F.xxhash64(node, index, F.element_at("sig", index))
 
 
@@ -207,8 +243,14 @@ def _impure(rows: DataFrame) -> DataFrame:
     )
 
 
-def _stars(big: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (rep, other) of each record of a node with the node's pivots.
+def _least(percent: int) -> int:
+    """Equal coordinates that a similar pair has at least, but for one in ten million."""
+    similar = percent / 100
+    return int(SIGNATURE * similar - 5.2 * (SIGNATURE * similar * (1 - similar)) ** 0.5)
+
+
+def _stars(big: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (rep, other) of each record of a node with the node's pivots, if signatures agree.
 
     Pivots are the records that agree in most coordinates with the commonest values of
     a small sample of the node: copies of one text are like it more than like each other.
@@ -235,19 +277,25 @@ def _stars(big: DataFrame, reps: DataFrame) -> DataFrame:
         .agg(F.collect_list("sig").alias("sigs"))
         .mapInArrow(commonest, "node long, centre array<int>")
     )
-    equal = F.aggregate(
-        F.zip_with("sig", "centre", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y
-    )
+    def equal(x: Column, y: Column) -> Column:
+        same = F.zip_with(x, y, lambda a, b: (a == b).cast("int"))
+        return F.aggregate(same, F.lit(0), lambda a, b: a + b)
+
+    near = F.struct(equal(F.col("sig"), F.col("centre")), "rep", "sig")
     best = [
-        F.max(F.when(F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)) == k, F.struct(equal, "rep")))["rep"]
-        for k in range(PIVOTS)
+        F.max(F.when(F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)) == k, near)) for k in range(PIVOTS)
     ]
     pivots = (
         rows.join(centres, "node")
         .groupBy("node")
         .agg(F.array_compact(F.array(*best)).alias("pivots"))
     )
-    return big.join(pivots, "node").select("rep", F.explode("pivots").alias("other"))
+    return (
+        rows.join(pivots, "node")
+        .select("rep", "sig", F.explode("pivots").alias("pivot"))
+        .filter(equal(F.col("sig"), F.col("pivot.sig")) >= _least(percent))
+        .select("rep", F.col("pivot.rep").alias("other"))
+    )
 
 
 def _leaves(live: DataFrame, leaf: int) -> DataFrame:
@@ -266,8 +314,7 @@ def _leaves(live: DataFrame, leaf: int) -> DataFrame:
 
 def _alike(leaves: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct groups (key, members) of records in one leaf that signatures connect."""
-    similar = percent / 100
-    least = int(SIGNATURE * similar - 5.2 * (SIGNATURE * similar * (1 - similar)) ** 0.5)
+    least = _least(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,13 +421,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(k).filter(pa.array(good, pa.bool_())) for k in (0, 1)], names=["a", "b"]
             )
 
+    pairs = written(pairs.filter("rep <> other").distinct())
     left = sets.select("rep", F.col("members").alias("x"))
+    left = _likely(left, "rep", pairs, "rep")
     right = sets.select(F.col("rep").alias("other"), F.col("members").alias("y"))
+    right = _likely(right, "other", pairs, "other")
     x, y = F.octet_length("x"), F.octet_length("y")
     return (
-        pairs.filter("rep <> other")
-        .distinct()
-        .join(left, "rep")
+        pairs.join(left, "rep")
         .join(right, "other")
         .filter(100 * F.least(x, y) >= percent * F.greatest(x, y))
         .select("rep", "other", "x", "y")
