@@ -6,6 +6,9 @@ in the tasks, in levels whose radii halve. Pairs of nodes are visited from the t
 centres are farther apart than both covering radii and the threshold allow is pruned, one that is within the threshold
 as a whole is taken without looking inside, any other is split. Pairs of leaves are
 compared exactly, by the cosine itself.
+
+The blocks are written once and meet in a Cartesian product that reads them again, with the
+bounds as its condition: no pair of blocks goes through a shuffle or to disk.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocklens.llm.components import connected_components
 from stocklens.llm.shared import written
@@ -24,6 +28,7 @@ from stocklens.llm.voronoi import _matrix
 
 PIVOTS = 256
 LEAF = 96
+TREES = 32  # trees of blocks that a task keeps for the next pairs
 SLACK = 1e-9
 
 
@@ -71,16 +76,19 @@ def similar_vectors(
     usable = F.coalesce(
         F.col("vec_id").isNotNull() & finite & F.exists("x", lambda c: c != 0), F.lit(False)
     )
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).select(
-        "vec_id", "x", usable.alias("usable")
-    )
-    numbered = written(rows.withColumn("row", F.monotonically_increasing_id()))
-    found = _pairs(numbered.filter("usable"), threshold, block_rows)
-    links = found.filter("n > 0").groupBy("row").agg(F.sum("n").alias("n_links"))
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", x.alias("x"))
+    element = embeddings.schema["embedding"].dataType.elementType
+    kept = F.col("embedding") if isinstance(element, T.FloatType) else F.col("x")
+    vectors = rows.filter(usable).select("vec_id", kept.alias("x"))
+    blocks = _blocks(vectors, block_rows)
+    found = _pairs(blocks, threshold)
+    links = found.filter("n > 0").groupBy("block", "place").agg(F.sum("n").alias("n_links"))
     classes = connected_components(found.filter("other is not null").select("vec_id", "other"), "vec_id", "other")
+    members = blocks.select("block", F.posexplode("rows.vec_id").alias("place", "vec_id"))
     return (
-        numbered.select("row", "vec_id")
-        .join(links, "row", "left")
+        members.join(links, ["block", "place"], "left")
+        .select("vec_id", "n_links")
+        .unionByName(rows.filter(~usable).select("vec_id", F.lit(None).cast("long").alias("n_links")))
         .join(classes, F.col("vec_id") == F.col("node"), "left")
         .select(
             "vec_id",
@@ -91,22 +99,25 @@ def similar_vectors(
     )
 
 
-def _pairs(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """(row, n) counts of links and (vec_id, other) forest edges, from every pair of blocks."""
+def _blocks(vectors: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks (d, cell, radius, apart, block, rows) of about ``block_rows`` vectors near one pivot.
+
+    ``apart`` holds the distances from the block's pivot to every pivot of its length.
+    """
     spark = vectors.sparkSession
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
+    wanted = min(PIVOTS, -(-2 * vectors.count() // block_rows))
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()
     by_length: dict[int, list] = {}
     for r in sample:
         by_length.setdefault(len(r.x), []).append(r.x)
-    pivots = {d: _units(np.array(v)) for d, v in by_length.items()}
+    pivots = {d: _units(np.array(v, np.float64)) for d, v in by_length.items()}
     shared = spark.sparkContext.broadcast(pivots)
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells, far = [], []
             for v in batch.column(1):
-                unit = _units(np.array([v.as_py()]))[0]
+                unit = _units(np.array([v.as_py()], np.float64))[0]
                 known = shared.value.get(len(unit))
                 if known is None:  # a length without a pivot
                     cells.append(-1)
@@ -120,59 +131,74 @@ def _pairs(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
                     *batch.columns,
                     pa.array([len(v) for v in batch.column(1)], pa.int32()),
                     pa.array(cells, pa.int32()),
-                    pa.array(far),
+                    pa.array(far, pa.float64()),
                 ],
-                names=["vec_id", "x", "row", "d", "cell", "far"],
+                names=["vec_id", "x", "deal", "d", "cell", "far"],
             )
 
-    placed = written(
-        vectors.select("vec_id", "x", "row").mapInArrow(
-            place, "vec_id long, x array<double>, row long, d int, cell int, far double"
-        )
+    x = vectors.schema["x"].dataType.simpleString()
+    # placed twice, for the sizes of the cells and for the blocks, instead of written
+    placed = vectors.withColumn("deal", F.monotonically_increasing_id()).mapInArrow(
+        place, f"vec_id long, x {x}, deal long, d int, cell int, far double"
     )
     sizes = placed.groupBy("d", "cell").agg(F.count("*").alias("n"))
-    salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / block_rows)).cast("int")
-    blocks = written(
-        placed.join(sizes, ["d", "cell"])
-        .withColumn("part", salt)
+    part = F.pmod(F.col("deal"), F.ceil(F.col("n") / block_rows)).cast("int")
+    between = [
+        (d, cell, [float(a) for a in np.sqrt(((known - known[cell]) ** 2).sum(1))])
+        for d, known in pivots.items()
+        for cell in range(len(known))
+    ]
+    apart = spark.createDataFrame(between, "d int, cell int, apart array<double>")
+    return written(
+        placed.join(F.broadcast(sizes), ["d", "cell"])
+        .withColumn("part", part)
         .groupBy("d", "cell", "part")
-        .agg(F.max("far").alias("radius"), F.collect_list(F.struct("vec_id", "row", "x")).alias("rows"))
-        .withColumn("block", F.concat_ws("/", "d", "cell", "part"))
+        .agg(F.max("far").alias("radius"), F.collect_list(F.struct("vec_id", "x")).alias("rows"))
+        .join(F.broadcast(apart), ["d", "cell"], "left")
+        .select("d", "cell", "radius", "apart", F.concat_ws("/", "d", "cell", "part").alias("block"), "rows")
     )
-    # pairs of cells whose pivots are near enough, from the bounded list of pivots
-    radii = {(r.d, r.cell): r.radius for r in placed.groupBy("d", "cell").agg(F.max("far").alias("radius")).collect()}
-    near = []
-    for (d, a), ra in radii.items():
-        for (e, b), rb in radii.items():
-            if d == e and a <= b:
-                apart = 0.0 if a < 0 else float(np.sqrt(((pivots[d][a] - pivots[d][b]) ** 2).sum()))
-                if apart - ra - rb <= reach + SLACK:
-                    near.append((d, a, b, apart))
-    cells = spark.createDataFrame(near, "d int, cell int, other_cell int, apart double")
-    a = blocks.select("d", "cell", F.col("block").alias("a"), F.col("radius").alias("ra"))
-    b = blocks.select("d", F.col("cell").alias("other_cell"), F.col("block").alias("b"), F.col("radius").alias("rb"))
-    wanted = (
-        a.join(cells, ["d", "cell"])
-        .join(b, ["d", "other_cell"])
-        .filter((F.col("cell") < F.col("other_cell")) | (F.col("a") <= F.col("b")))
-        .filter(F.col("apart") - F.col("ra") - F.col("rb") <= reach + SLACK)
-        .select("a", "b")
+
+
+def _pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(block, place, n) counts of links and (vec_id, other) forest edges, from every pair of blocks."""
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    a = blocks.select("d", "radius", "apart", F.col("block").alias("a"), F.col("rows").alias("first"))
+    b = blocks.select(
+        F.col("d").alias("other_d"),
+        F.col("cell").alias("other_cell"),
+        F.col("radius").alias("other_radius"),
+        F.col("block").alias("b"),
+        F.col("rows").alias("second"),
+    )
+    between = F.coalesce(F.get("apart", F.greatest("other_cell", F.lit(0))), F.lit(0.0))
+    near = between - F.col("radius") - F.col("other_radius") <= reach + SLACK
+    pairs = a.hint("shuffle_replicate_nl").join(
+        b, (F.col("d") == F.col("other_d")) & (F.col("a") <= F.col("b")) & near
     )
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict[str, tuple[np.ndarray, Node]] = {}
+
+        def tree(block: str, rows: pa.StructArray) -> tuple[np.ndarray, Node]:
+            if block not in trees:
+                if len(trees) >= TREES:
+                    del trees[next(iter(trees))]
+                units = _units(_matrix(rows.field("x")).astype(np.float64))
+                trees[block] = units, build(units, np.arange(len(units)), 2.0)
+            return trees[block]
+
         for batch in batches:
             for i in range(batch.num_rows):
-                same = batch.column(0)[i].as_py()
-                first = batch.column(1)[i].values
-                second = first if same else batch.column(2)[i].values
-                yield _dual(first, second, same, threshold, reach)
+                names = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                rows = batch.column(2)[i].values, batch.column(3)[i].values
+                both = [tree(k, r) for k, r in zip(names, rows, strict=True)]
+                ids = [r.field("vec_id").to_numpy() for r in rows]
+                yield _dual(names, both, ids, threshold, reach)
 
-    rows = blocks.select("block", "rows")
     return written(
-        wanted.join(rows.select(F.col("block").alias("a"), F.col("rows").alias("first")), "a")
-        .join(rows.select(F.col("block").alias("b"), F.col("rows").alias("second")), "b")
-        .select((F.col("a") == F.col("b")).alias("same"), "first", "second")
-        .mapInArrow(traverse, "row long, n long, vec_id long, other long")
+        pairs.select("a", "b", "first", "second").mapInArrow(
+            traverse, "block string, place int, n long, vec_id long, other long"
+        )
     )
 
 
@@ -182,13 +208,15 @@ def _units(x: np.ndarray) -> np.ndarray:
 
 
 def _dual(
-    first: pa.StructArray, second: pa.StructArray, same: bool, threshold: float, reach: float
+    names: tuple[str, str],
+    trees: list[tuple[np.ndarray, Node]],
+    ids: list[np.ndarray],
+    threshold: float,
+    reach: float,
 ) -> pa.RecordBatch:
     """Traverse the trees of two blocks; counts per row, and edges that connect what links connect."""
-    u = _units(_matrix(first.field("x")))
-    v = u if same else _units(_matrix(second.field("x")))
-    tree = build(u, np.arange(len(u)), 2.0)
-    other = tree if same else build(v, np.arange(len(v)), 2.0)
+    (u, tree), (v, other) = trees
+    same = names[0] == names[1]
     mine, theirs = np.zeros(len(u), np.int64), np.zeros(len(v), np.int64)
     # a forest over rows of the first block, then of the second
     label = np.arange(len(u) if same else len(u) + len(v))
@@ -234,22 +262,18 @@ def _dual(
             _leaf(u, v, p.rows, q.rows, False, threshold, mine, theirs, join, shift)
     if same:
         mine = mine + theirs
-    ids = first.field("vec_id").to_numpy()
-    numbers = first.field("row").to_numpy()
-    if not same:
-        ids = np.concatenate((ids, second.field("vec_id").to_numpy()))
-        numbers = np.concatenate((numbers, second.field("row").to_numpy()))
-        mine = np.concatenate((mine, theirs))
-    hit = np.flatnonzero(mine)
-    n = len(hit)
+    every, counts = (ids[0], mine) if same else (np.concatenate(ids), np.concatenate((mine, theirs)))
+    hit = np.flatnonzero(counts)
+    n, m = len(hit), len(edges)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.concatenate((numbers[hit], np.zeros(len(edges), np.int64)))),
-            pa.array(np.concatenate((mine[hit], np.zeros(len(edges), np.int64)))),
-            pa.array([None] * n + [int(ids[i]) for i, _ in edges], pa.int64()),
-            pa.array([None] * n + [int(ids[j]) for _, j in edges], pa.int64()),
+            pa.array([names[0] if i < len(u) else names[1] for i in hit] + [None] * m, pa.string()),
+            pa.array(np.concatenate((np.where(hit < len(u), hit, hit - len(u)), np.zeros(m, np.int64))), pa.int32()),
+            pa.array(np.concatenate((counts[hit], np.zeros(m, np.int64)))),
+            pa.array([None] * n + [int(every[i]) for i, _ in edges], pa.int64()),
+            pa.array([None] * n + [int(every[j]) for _, j in edges], pa.int64()),
         ],
-        names=["row", "n", "vec_id", "other"],
+        names=["block", "place", "n", "vec_id", "other"],
     )
 
 

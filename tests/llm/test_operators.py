@@ -287,3 +287,22 @@ def test_pipeline_stages(spark):
         assert docs.columns == corpus_pipeline.COLUMNS, name
     left = docs.select("doc_id").distinct().count()
     assert docs.count() == left and before // 2 < left < before
+
+
+def test_pairs_of_blocks_of_vectors_are_not_shuffled(spark, tmp_path):
+    from stocklens.llm import cover_tree
+
+    r = np.random.RandomState(2)
+    rows = [(k, [float(x) for x in r.normal(size=8)]) for k in range(300)]
+    # a block is written once, and never holds more than a dealt cell does
+    blocks = cover_tree._blocks(spark.createDataFrame(rows, "vec_id long, x array<float>"), 64)
+    assert sorted(k for b in blocks.collect() for k in (x.vec_id for x in b.rows)) == list(range(300))
+    assert blocks.schema["rows"].dataType.elementType["x"].dataType.simpleString() == "array<float>"
+    plans = []
+    kept = cover_tree.written
+    cover_tree.written = lambda df: plans.append(df._jdf.queryExecution().toString()) or kept(df)
+    try:
+        cover_tree._pairs(blocks, 0.9)
+    finally:
+        cover_tree.written = kept
+    assert "CartesianProduct" in plans[0] and "Exchange" not in plans[0].split("== Physical Plan ==")[1]
