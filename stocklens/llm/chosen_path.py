@@ -135,32 +135,25 @@ def _links(
     children = F.transform("first", lambda value, k: F.xxhash64(k, value))
     rows = _with_component(reps.select("rep", F.explode(children).alias("node")), None)
     reps = reps.select("rep", "sig")
-    sets, edges, known, groups, level, compared = None, None, None, [], 1, False
+    edges, known, groups, level, compared = None, None, [], 1, False
     while True:
         live = written(_impure(rows))
         small = (F.col("n") <= leaf) | (F.col("rest") <= leaf)
         groups.append(written(_alike(_leaves(live.filter(small), leaf), reps, percent)))
         big = live.filter(~small)
-        if sets is None:
-            pool = groups[0].select(F.explode("members").alias("rep")).unionByName(big.select("rep"))
-            sets = written(
-                _likely(docs, "doc_id", pool, "rep")
-                .join(pool.distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-                .dropDuplicates(["doc_id"])  # here it needs no exchange after the join's
-                .mapInArrow(_sets(words), "rep long, members binary")
-            )
         if big.isEmpty():
             break
-        if not compared:  # what pivots connect is done, or nearly, before anything branches
-            stars = written(_confirmed(_stars(big, reps, percent), sets, percent))
+        if level > 1 or not compared:
+            stars = written(_confirmed(_stars(big, reps, percent), docs, words, percent))
             edges = stars if edges is None else edges.unionByName(stars)
             known = connected_components(edges)
+        if not compared:  # what pivots connect is done, or nearly, before anything branches
+            compared = True
             rows = _with_component(big.select("node", "rep"), known)
-        else:
-            level += 1
-            rows = _children(big.select("node", "rep"), reps, known, level, percent)
-        compared = not compared
-    solved = _solved(groups, sets, known, percent)
+            continue
+        level += 1
+        rows = _children(big.select("node", "rep"), reps, known, level, percent)
+    solved = _solved(groups, docs, known, words, percent)
     return solved if edges is None else solved.unionByName(edges)
 
 
@@ -407,7 +400,7 @@ def _forest(
                 label[label == label[j]] = label[i]
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (rep, other) whose full sets are similar, as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,10 +415,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             )
 
     pairs = written(pairs.filter("rep <> other").distinct())
+    ids = pairs.select("rep").unionByName(pairs.select(F.col("other").alias("rep"))).distinct()
+    texts = _texts(docs, ids).join(ids, "rep")  # a semi join would sink below the filter
+    sets = written(texts.select("rep", "text").mapInArrow(_sets(words), "rep long, members binary"))
     left = sets.select("rep", F.col("members").alias("x"))
-    left = _likely(left, "rep", pairs, "rep")
     right = sets.select(F.col("rep").alias("other"), F.col("members").alias("y"))
-    right = _likely(right, "other", pairs, "other")
     x, y = F.octet_length("x"), F.octet_length("y")
     return (
         pairs.join(left, "rep")
@@ -436,12 +430,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rep, text) of the ids and few others, one row each."""
+    likely = _likely(docs, "doc_id", ids, "rep").dropDuplicates(["doc_id"])
+    return likely.withColumnRenamed("doc_id", "rep")
+
+
 def _solved(
-    groups: list[DataFrame], sets: DataFrame, known: DataFrame | None, percent: int
+    groups: list[DataFrame], docs: DataFrame, known: DataFrame | None, words: int, percent: int
 ) -> DataFrame:
     """Links that connect what links connect within each group, confirmed on full sets.
 
-    In a group every pair is tried unless its records are already connected.
+    In a group every pair is tried unless its records are already connected. Texts are
+    shuffled, as they compress and sets of hashes do not.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,9 +450,9 @@ def _solved(
             offsets = batch.column(0).offsets.to_numpy()
             rows = batch.column(0).values
             ids, comps = rows.field("rep").to_numpy(), rows.field("comp").to_numpy()
-            sets, a, b = rows.field("members"), [], []
+            texts, a, b = rows.field("text"), [], []
             for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
-                group = [np.frombuffer(x, np.uint64) for x in sets.slice(lo, hi - lo).to_pylist()]
+                group = list(shingle_sets(texts.slice(lo, hi - lo).to_pylist(), words))
                 for i, j in _forest(group, comps[lo:hi].copy(), percent):
                     a.append(ids[lo + i])
                     b.append(ids[lo + j])
@@ -463,11 +464,12 @@ def _solved(
     for more in groups[1:]:
         every = every.unionByName(more)
     rows = every.dropDuplicates(["key"]).select("key", F.explode("members").alias("rep"))
+    texts = _texts(docs, rows.select("rep"))
     rows = _with_component(rows, known)
     return written(
-        rows.join(sets, "rep")
+        rows.join(texts, "rep")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("rep", "comp", "members")).alias("rows"))
+        .agg(F.collect_list(F.struct("rep", "comp", "text")).alias("rows"))
         .select("rows")
         .mapInArrow(run, "a long, b long")
     )
