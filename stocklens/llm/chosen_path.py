@@ -415,9 +415,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             )
 
     pairs = written(pairs.filter("rep <> other").distinct())
-    ids = pairs.select("rep").unionByName(pairs.select(F.col("other").alias("rep"))).distinct()
-    texts = _texts(docs, ids).join(ids, "rep")  # a semi join would sink below the filter
-    sets = written(texts.select("rep", "text").mapInArrow(_sets(words), "rep long, members binary"))
+    ids = pairs.select("rep").unionByName(pairs.select(F.col("other").alias("rep")))
+    sets = written(_texts(docs, ids).mapInArrow(_sets(words), "rep long, members binary"))
     left = sets.select("rep", F.col("members").alias("x"))
     right = sets.select(F.col("rep").alias("other"), F.col("members").alias("y"))
     x, y = F.octet_length("x"), F.octet_length("y")
