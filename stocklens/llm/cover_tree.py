@@ -7,8 +7,9 @@ centres are farther apart than both covering radii and the threshold allow is pr
 as a whole is taken without looking inside, any other is split. Pairs of leaves are
 compared exactly, by the cosine itself.
 
-The blocks are written once and meet in a Cartesian product that reads them again, with the
-bounds as its condition: no pair of blocks goes through a shuffle or to disk.
+The blocks are written once, each with its tree, and meet in a Cartesian product that reads them again,
+with the bounds as its condition: no pair of blocks goes through a shuffle or to disk, and no tree is
+built a second time. A block's rows stand in the order of its leaves, so every node is a run of rows.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from stocklens.llm.voronoi import _matrix
 
 PIVOTS = 256
 LEAF = 96
+PAIRS = 16_384  # of rows, compared in double precision at once
 TREES = 32  # trees of blocks that a task keeps for the next pairs
 SLACK = 1e-9
+TREE = "sizes array<int>, radii array<double>, below array<int>"  # nodes from the top, each before its children
 
 
 @dataclass
@@ -39,6 +42,38 @@ class Node:
     rows: np.ndarray  # row numbers below it
     children: list[Node] = field(default_factory=list)
 
+    def __len__(self) -> int:
+        return len(self.rows)
+
+
+@dataclass
+class Run:
+    """A node of a block whose rows are in the order of their leaves; the first row is its centre."""
+
+    centre: np.ndarray
+    radius: float
+    first: int
+    end: int
+    children: list[Run] = field(default_factory=list)
+
+    def __len__(self) -> int:
+        return self.end - self.first
+
+    @property
+    def rows(self) -> slice:
+        return slice(self.first, self.end)
+
+
+@dataclass
+class Block:
+    units: np.ndarray
+    ids: np.ndarray
+    tree: Run
+    rough: np.ndarray = field(init=False)  # units in single precision
+
+    def __post_init__(self) -> None:
+        self.rough = self.units.astype(np.float32)
+
 
 def build(units: np.ndarray, rows: np.ndarray, scale: float) -> Node:
     """A cover tree: each level's centres are more than its radius apart, radii halve."""
@@ -59,6 +94,23 @@ def build(units: np.ndarray, rows: np.ndarray, scale: float) -> Node:
     return node
 
 
+def _leaves(node: Node) -> list[np.ndarray]:
+    return [rows for c in node.children for rows in _leaves(c)] if node.children else [node.rows]
+
+
+def _nodes(node: Node) -> list[Node]:
+    return [node, *(n for c in node.children for n in _nodes(c))]
+
+
+def _runs(units: np.ndarray, nodes: Iterator[tuple[int, float, int]], first: int = 0) -> Run:
+    """The tree of a block from its nodes (rows, radius, children), each before its children."""
+    size, radius, below = next(nodes)
+    run = Run(units[first], radius, first, first + size)
+    for _ in range(below):
+        run.children.append(_runs(units, nodes, run.children[-1].end if run.children else first))
+    return run
+
+
 def similar_vectors(
     embeddings: DataFrame, *, threshold: float = 0.9, block_rows: int = 2048
 ) -> DataFrame:
@@ -100,7 +152,8 @@ def similar_vectors(
 
 
 def _blocks(vectors: DataFrame, block_rows: int) -> DataFrame:
-    """Blocks (d, cell, radius, apart, block, rows) of about ``block_rows`` vectors near one pivot.
+    """Blocks (d, cell, radius, apart, block, rows and the columns of TREE) of about ``block_rows``
+    vectors near one pivot, in the order of the leaves of their tree.
 
     ``apart`` holds the distances from the block's pivot to every pivot of its length.
     """
@@ -149,6 +202,28 @@ def _blocks(vectors: DataFrame, block_rows: int) -> DataFrame:
         for cell in range(len(known))
     ]
     apart = spark.createDataFrame(between, "d int, cell int, apart array<double>")
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, rows = batch.slice(i, 1), batch.column(batch.num_columns - 1)[i].values
+                units = _units(_matrix(rows.field("x")).astype(np.float64))
+                tree = build(units, np.arange(len(units)), 2.0)
+                nodes = _nodes(tree)
+                ordered = pa.ListArray.from_arrays(
+                    pa.array([0, len(rows)], pa.int32()), rows.take(pa.array(np.concatenate(_leaves(tree))))
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *one.columns[:-1],
+                        ordered,
+                        pa.array([[len(n) for n in nodes]], pa.list_(pa.int32())),
+                        pa.array([[n.radius for n in nodes]], pa.list_(pa.float64())),
+                        pa.array([[len(n.children) for n in nodes]], pa.list_(pa.int32())),
+                    ],
+                    names=[*batch.schema.names, "sizes", "radii", "below"],
+                )
+
     return written(
         placed.join(F.broadcast(sizes), ["d", "cell"])
         .withColumn("part", part)
@@ -156,19 +231,25 @@ def _blocks(vectors: DataFrame, block_rows: int) -> DataFrame:
         .agg(F.max("far").alias("radius"), F.collect_list(F.struct("vec_id", "x")).alias("rows"))
         .join(F.broadcast(apart), ["d", "cell"], "left")
         .select("d", "cell", "radius", "apart", F.concat_ws("/", "d", "cell", "part").alias("block"), "rows")
+        .mapInArrow(
+            grow,
+            "d int, cell int, radius double, apart array<double>, block string, "
+            f"rows array<struct<vec_id: bigint, x: {x}>>, {TREE}",
+        )
     )
 
 
 def _pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     """(block, place, n) counts of links and (vec_id, other) forest edges, from every pair of blocks."""
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    a = blocks.select("d", "radius", "apart", F.col("block").alias("a"), F.col("rows").alias("first"))
+    held = F.struct(F.col("rows.vec_id").alias("vec_id"), F.col("rows.x").alias("x"), "sizes", "radii", "below")
+    a = blocks.select("d", "radius", "apart", F.col("block").alias("a"), held.alias("first"))
     b = blocks.select(
         F.col("d").alias("other_d"),
         F.col("cell").alias("other_cell"),
         F.col("radius").alias("other_radius"),
         F.col("block").alias("b"),
-        F.col("rows").alias("second"),
+        held.alias("second"),
     )
     between = F.coalesce(F.get("apart", F.greatest("other_cell", F.lit(0))), F.lit(0.0))
     near = between - F.col("radius") - F.col("other_radius") <= reach + SLACK
@@ -177,23 +258,22 @@ def _pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     )
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, tuple[np.ndarray, Node]] = {}
+        kept: dict[str, Block] = {}
 
-        def tree(block: str, rows: pa.StructArray) -> tuple[np.ndarray, Node]:
-            if block not in trees:
-                if len(trees) >= TREES:
-                    del trees[next(iter(trees))]
-                units = _units(_matrix(rows.field("x")).astype(np.float64))
-                trees[block] = units, build(units, np.arange(len(units)), 2.0)
-            return trees[block]
+        def block(name: str, held: pa.StructScalar) -> Block:
+            if name not in kept:
+                if len(kept) >= TREES:
+                    del kept[next(iter(kept))]
+                units = _units(_matrix(held["x"].values).astype(np.float64))
+                nodes = zip(*(held[c].values.to_pylist() for c in ("sizes", "radii", "below")), strict=True)
+                kept[name] = Block(units, held["vec_id"].values.to_numpy(), _runs(units, nodes))
+            return kept[name]
 
         for batch in batches:
             for i in range(batch.num_rows):
                 names = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows = batch.column(2)[i].values, batch.column(3)[i].values
-                both = [tree(k, r) for k, r in zip(names, rows, strict=True)]
-                ids = [r.field("vec_id").to_numpy() for r in rows]
-                yield _dual(names, both, ids, threshold, reach)
+                both = [block(k, batch.column(2 + c)[i]) for c, k in enumerate(names)]
+                yield _dual(names, both, threshold, reach)
 
     return written(
         pairs.select("a", "b", "first", "second").mapInArrow(
@@ -209,13 +289,13 @@ def _units(x: np.ndarray) -> np.ndarray:
 
 def _dual(
     names: tuple[str, str],
-    trees: list[tuple[np.ndarray, Node]],
-    ids: list[np.ndarray],
+    blocks: list[Block],
     threshold: float,
     reach: float,
 ) -> pa.RecordBatch:
     """Traverse the trees of two blocks; counts per row, and edges that connect what links connect."""
-    (u, tree), (v, other) = trees
+    first, second = blocks
+    u, v, tree, other = first.units, second.units, first.tree, second.tree
     same = names[0] == names[1]
     mine, theirs = np.zeros(len(u), np.int64), np.zeros(len(v), np.int64)
     # a forest over rows of the first block, then of the second
@@ -228,12 +308,12 @@ def _dual(
             edges.append((i, j))
             label[label == label[j]] = label[i]
 
-    def joined(a: np.ndarray, b: np.ndarray) -> None:
+    def joined(a: Run, b: Run) -> None:
         """Every row of a is linked with every row of b."""
-        for j in b:
-            join(a[0], shift + j)
-        for i in a[1:]:
-            join(i, shift + b[0])
+        for j in range(b.first, b.end):
+            join(a.first, shift + j)
+        for i in range(a.first + 1, a.end):
+            join(i, shift + b.first)
 
     stack = [(tree, other)]
     while stack:
@@ -243,26 +323,26 @@ def _dual(
             continue
         if same and p is q:
             if 2 * p.radius < reach - SLACK:
-                mine[p.rows] += len(p.rows) - 1
-                joined(p.rows, p.rows)
+                mine[p.rows] += len(p) - 1
+                joined(p, p)
             elif p.children:
                 for i, c in enumerate(p.children):
                     stack.extend((c, e) for e in p.children[i:])
             else:
-                _leaf(u, v, p.rows, q.rows, True, threshold, mine, mine, join, shift)
+                _leaf(first, second, p, q, True, threshold, mine, mine, join, label, shift)
         elif apart + p.radius + q.radius < reach - SLACK:
-            mine[p.rows] += len(q.rows)
-            theirs[q.rows] += len(p.rows)
-            joined(p.rows, q.rows)
+            mine[p.rows] += len(q)
+            theirs[q.rows] += len(p)
+            joined(p, q)
         elif p.children and (p.radius >= q.radius or not q.children):
             stack.extend((c, q) for c in p.children)
         elif q.children:
             stack.extend((p, c) for c in q.children)
         else:
-            _leaf(u, v, p.rows, q.rows, False, threshold, mine, theirs, join, shift)
+            _leaf(first, second, p, q, False, threshold, mine, theirs, join, label, shift)
     if same:
         mine = mine + theirs
-    every, counts = (ids[0], mine) if same else (np.concatenate(ids), np.concatenate((mine, theirs)))
+    every, counts = (first.ids, mine) if same else (np.concatenate((first.ids, second.ids)), np.concatenate((mine, theirs)))
     hit = np.flatnonzero(counts)
     n, m = len(hit), len(edges)
     return pa.RecordBatch.from_arrays(
@@ -277,19 +357,24 @@ def _dual(
     )
 
 
-def _leaf(u, v, a, b, own, threshold, mine, theirs, join, shift) -> None:  # noqa: ANN001
-    cosine = u[a] @ v[b].T
-    close = np.abs(cosine - threshold) < 1e-12
-    if close.any():  # products of blocks and of single rows may differ in the last bit
-        for i, j in zip(*np.nonzero(close), strict=True):
-            cosine[i, j] = float(np.dot(u[a[i]], v[b[j]]))
-    linked = cosine >= threshold
+def _leaf(u, v, a, b, own, threshold, mine, theirs, join, label, shift) -> None:  # noqa: ANN001
+    """Links between the rows of two leaves: single precision finds where to look, double precision decides."""
+    d = u.units.shape[1]
+    rough = u.rough[a.rows] @ v.rough[b.rows].T
+    near = np.flatnonzero(rough >= np.float32(threshold - (d + 8) * 2.0**-23))  # its rounding errors are smaller
     if own:
-        np.fill_diagonal(linked, False)
-        mine[a] += linked.sum(1)
-        linked = np.triu(linked)
-    else:
-        mine[a] += linked.sum(1)
-        theirs[b] += linked.sum(0)
-    for i, j in zip(*np.nonzero(linked), strict=True):
-        join(a[i], shift + b[j])
+        near = near[near // len(b) != near % len(b)]
+    whole = (u.units[a.rows] @ v.units[b.rows].T).ravel() if 32 * len(near) > rough.size else None
+    for k in range(0, len(near), PAIRS):
+        at = near[k : k + PAIRS]
+        i, j = a.first + at // len(b), b.first + at % len(b)
+        cosine = np.einsum("ij,ij->i", u.units[i], v.units[j]) if whole is None else whole[at]
+        for c in np.flatnonzero(np.abs(cosine - threshold) < 1e-12):  # sums in another order differ in the last bit
+            cosine[c] = float(np.dot(u.units[i[c]], v.units[j[c]]))
+        i, j = i[cosine >= threshold], j[cosine >= threshold]
+        mine += np.bincount(i, minlength=len(mine))
+        if not own:
+            theirs += np.bincount(j, minlength=len(theirs))
+        apart = label[i] != label[shift + j]
+        for x, y in zip(i[apart].tolist(), j[apart].tolist(), strict=True):
+            join(x, shift + y)

@@ -306,3 +306,52 @@ def test_pairs_of_blocks_of_vectors_are_not_shuffled(spark, tmp_path):
     finally:
         cover_tree.written = kept
     assert "CartesianProduct" in plans[0] and "Exchange" not in plans[0].split("== Physical Plan ==")[1]
+
+
+def test_blocks_of_vectors_carry_their_tree(spark):
+    from stocklens.llm import cover_tree
+
+    r = np.random.RandomState(3)
+    centres = r.normal(size=(4, 8))
+    rows = [(k, [float(x) for x in centres[k % 4] + r.normal(scale=0.1, size=8)]) for k in range(900)]
+    blocks = cover_tree._blocks(spark.createDataFrame(rows, "vec_id long, x array<double>"), 2048).collect()
+    inner = 0
+    for b in blocks:
+        units = cover_tree._units(np.array([v.x for v in b.rows]))
+        stack = [cover_tree._runs(units, zip(b.sizes, b.radii, b.below, strict=True))]
+        assert (stack[0].first, stack[0].end) == (0, len(units))
+        while stack:
+            run = stack.pop()
+            assert (run.centre == units[run.first]).all()
+            assert np.sqrt(((units[run.rows] - run.centre) ** 2).sum(1)).max() <= run.radius + 1e-12
+            if run.children:
+                inner += 1
+                ends = [run.first, *(c.end for c in run.children)]
+                assert [c.first for c in run.children] == ends[:-1] and ends[-1] == run.end
+                stack += run.children
+    assert inner > 0
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.02, 0.15])
+def test_links_of_leaves_equal_brute_force(spread):
+    from stocklens.llm import cover_tree as ct
+
+    r = np.random.RandomState(4)
+    x = r.normal(size=(1, 16)) + r.normal(scale=spread, size=(500, 16)) if spread else np.ones((500, 16))
+    units = ct._units(x)
+    parts = [np.arange(0, 300), np.arange(300, 500)]
+    blocks = [ct.Block(units[p], p, ct.Run(units[p[0]], 2.0, 0, len(p))) for p in parts]
+    counts, pairs = np.zeros(500, int), [(0, 0), (0, 1), (1, 1)]
+    edges = set()
+    for a, b in pairs:
+        found = ct._dual((str(a), str(b)), [blocks[a], blocks[b]], 0.98, float(np.sqrt(0.04)))
+        for block, place, n, one, other in zip(*(c.to_pylist() for c in found.columns), strict=True):
+            if one is None:
+                counts[parts[int(block)][place]] += n
+            else:
+                edges.add((one, other))
+    want = units @ units.T >= 0.98
+    np.fill_diagonal(want, False)
+    assert (counts == want.sum(1)).all()
+    linked = [(a, b) for a, b in zip(*np.nonzero(np.triu(want)), strict=True)]
+    assert components(range(500), edges) == components(range(500), linked)
