@@ -158,3 +158,26 @@ def test_collated_join_is_a_sort_merge_join(spark):
     joined = a.join(b, same_text_collated(F.col("x"), F.col("y")))
     assert joined.count() == 1
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_list_is_written_once_not_once_per_item(spark, tmp_path):
+    """Items of a description stand together, so a Parquet dictionary holds their list, over 1 MB long, once."""
+    import pyarrow.parquet as pq
+
+    pairs = spark.range(3_000).select(
+        (F.col("id") % 200).alias("item_id"),
+        F.when(F.col("id") % 200 > 9, F.concat(F.lit("kind "), F.col("id") % 2)).alias("description"),
+        F.format_string("%06d%s", F.col("id"), F.repeat(F.lit("name "), 200)).alias("supplier"),
+    )
+    supplier_list(pairs).write.parquet(str(tmp_path / "lists"))
+    rows = spark.read.parquet(str(tmp_path / "lists")).collect()
+    assert len(rows) == 200 and sum(r.suppliers is None for r in rows) == 10
+    lists = {r.suppliers for r in rows if r.suppliers}
+    assert len(lists) == 2 and min(map(len, lists)) > 1024 * 1024
+    written = 0
+    for path in (tmp_path / "lists").glob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+        written += sum(c.total_uncompressed_size for g in groups for c in map(g.column, range(g.num_columns))
+                       if c.path_in_schema == "suppliers")
+    assert written < 3 * sum(map(len, lists))
