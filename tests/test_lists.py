@@ -7,15 +7,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stocklens.operators.numbering import numbered
+from stocklens.operators.snapshots import read_snapshot, write_snapshot
 from stocklens.operators.suppliers import (
+    in_order_with_suppliers,
     list_width,
     supplier_columns,
     supplier_list,
     supplier_pages,
     supplier_spread,
     supplier_wide,
+    with_list_key,
     with_list_size,
+    with_suppliers,
 )
+from stocklens.plans.deals import deal_export, deal_report, in_report_order, unordered_deal_report
+from stocklens.sources.sample import AS_OF, SAMPLE_CONFIG, previous_export, sample_tables
 
 
 def pairs_with_a_hot_description(spark, hot: int = 3000):
@@ -181,3 +187,79 @@ def test_a_list_is_written_once_not_once_per_item(spark, tmp_path):
         written += sum(c.total_uncompressed_size for g in groups for c in map(g.column, range(g.num_columns))
                        if c.path_in_schema == "suppliers")
     assert written < 3 * sum(map(len, lists))
+
+
+# ---- sorted rows and their lists ---------------------------------------------------------------
+
+
+def sorted_rows(spark, pairs):
+    """Rows of the pairs' items and of one item without pairs, each three times, items far from each other."""
+    items = pairs.select("item_id").distinct().union(spark.createDataFrame([(99,)], "item_id long"))
+    rows = items.crossJoin(spark.range(3).select(F.col("id").alias("n")))
+    rows = rows.withColumn("o", F.xxhash64("item_id", "n"))
+    return with_list_key(rows, pairs).orderBy("o")
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "16"])
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_lists_meet_sorted_rows_in_their_order(spark, tmp_path, partitions, coalesce):
+    pairs = pairs_with_a_hot_description(spark, hot=300)
+    settings = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.enabled": coalesce,
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = sorted_rows(spark, pairs)
+        got = in_order_with_suppliers(rows, pairs, str(tmp_path / "ordered"))
+        seen = [(r.o, r.item_id, r.suppliers) for r in got.collect()]
+        want = with_suppliers(rows.drop("description_key"), pairs)
+        assert got.columns == ["item_id", "n", "o", "suppliers"]
+        assert seen == sorted((r.o, r.item_id, r.suppliers) for r in want.collect())
+        assert len(seen) == 3 * 12 and {s for _, item, s in seen if item in (13, 14, 99)} == {None}
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        above, below = plan.split("ShuffledHashJoin", 1)
+        # nothing that carries lists by row is sorted or shuffled; the rows below are sorted
+        assert "Sort" not in above and "Exchange" not in above and "SortMergeJoin" not in above
+        assert "Sort [_place" in below
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sorted_rows_without_any_row_or_list(spark, tmp_path):
+    pairs = pairs_with_a_hot_description(spark, hot=3)
+    none = in_order_with_suppliers(sorted_rows(spark, pairs).filter("n > 5"), pairs, str(tmp_path / "a"))
+    assert none.collect() == [] and none.columns == ["item_id", "n", "o", "suppliers"]
+    bare = sorted_rows(spark, pairs)
+    listless = in_order_with_suppliers(bare, pairs.filter("false"), str(tmp_path / "b")).collect()
+    assert [r.o for r in listless] == sorted(r.o for r in bare.collect())
+    assert {r.suppliers for r in listless} == {None}
+
+
+def test_the_deal_report_sorts_before_it_has_lists(spark):
+    """Reports and exports come in order, though the sort is below the lists."""
+    directory = "/root/testdata/sf0.001"
+    t = sample_tables(spark, directory)
+    want = [tuple(r) for r in in_report_order(unordered_deal_report(t, SAMPLE_CONFIG, AS_OF)).collect()]
+    got = deal_report(t, SAMPLE_CONFIG, AS_OF)
+    assert [tuple(r) for r in got.collect()] == want and any(r[-4] for r in want)
+    export = deal_export(t, SAMPLE_CONFIG, AS_OF, previous_export(spark, directory))
+    assert [r.code for r in export.collect()] == [r[0] for r in want]
+    for df in (got, export):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+
+
+def test_an_edited_export_keeps_its_numbers_unsorted(spark, tmp_path):
+    first, edited = str(tmp_path / "first"), str(tmp_path / "edited")
+    rows = spark.range(100).select(F.col("id").cast("string").alias("code"), F.lit(1.0).alias("last_price"),
+                                   F.lit(None).cast("double").alias("new_price"))
+    write_snapshot(rows.orderBy(F.desc("code")), first)
+    numbers = {r.code: r.row_no for r in read_snapshot(spark, first).collect()}
+    shuffled = read_snapshot(spark, first).withColumn("new_price", F.lit(2.0)).repartition(3, "code")
+    write_snapshot(shuffled, edited, numbered=True)
+    assert {r.code: r.row_no for r in read_snapshot(spark, edited).collect()} == numbers
