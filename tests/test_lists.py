@@ -189,6 +189,59 @@ def test_a_list_is_written_once_not_once_per_item(spark, tmp_path):
     assert written < 3 * sum(map(len, lists))
 
 
+def test_a_list_of_many_items_is_attached_by_many_tasks(spark):
+    """What a task takes is items times list, so the items of one description do not all go to one task."""
+    from stocklens.operators.suppliers import LIST_ITEMS
+
+    items = 5 * LIST_ITEMS
+    pairs = spark.range(items).select(
+        F.col("id").alias("item_id"), F.lit("Hot item").alias("description"),
+        F.concat(F.lit("Supplier "), F.col("id") % 3).alias("supplier"),
+    ).union(pairs_with_a_hot_description(spark, hot=3).withColumn("item_id", F.col("item_id") + items))
+    # one item with two descriptions and one without any: a row for each
+    two = [(0, "cold", "Solo"), (0, None, "Solo")]
+    pairs = pairs.union(spark.createDataFrame(two, pairs.schema))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = supplier_list(pairs)
+        hot = got.filter(F.col("suppliers").startswith("Supplier 0,"))
+        tasks = hot.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 4 * LIST_ITEMS
+        assert got.columns == ["item_id", "suppliers"] and got.count() == items + 11 + 2
+        lists = {r.suppliers for r in hot.select("suppliers").distinct().collect()}
+        assert lists == {"Supplier 0, Supplier 00000, Supplier 00001, Supplier 00002, Supplier 1, Supplier 2"}
+        rest = got.filter("item_id = 0 or item_id > 20484").collect()
+        assert sorted(str(r.suppliers) for r in rest if r.item_id == 0)[:2] == ["None", "Other, Solo"]
+        assert {r.item_id - items: r.suppliers for r in rest if r.item_id - items in (10, 13, 14, 15)} == {
+            10: "Other, Solo", 13: None, 14: None, 15: "Ένας"}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_smallest_and_largest_text_is_kept_of_lists(spark, tmp_path):
+    """Keeping them compares every row's whole text twice; other columns keep them."""
+    import pyarrow.parquet as pq
+    from stocklens.plans.labels import labelled
+
+    pairs = pairs_with_a_hot_description(spark, hot=3)
+
+    def piped(lists):
+        return lists.withColumn("listed", F.concat("suppliers", F.lit("|")))
+
+    listed = supplier_list(pairs, piped)
+    headed = labelled(listed, {"item_id": "Κωδικός", "suppliers": "Προμηθευτές"})
+    for n, (df, texts) in enumerate([(listed, {"suppliers", "listed"}), (headed, {"Προμηθευτές"})]):
+        df.write.parquet(str(tmp_path / str(n)))
+        seen = {}
+        for path in (tmp_path / str(n)).glob("*.parquet"):
+            meta = pq.ParquetFile(path).metadata
+            for g in range(meta.num_row_groups):
+                for c in map(meta.row_group(g).column, range(meta.num_columns)):
+                    kept = c.statistics is not None and c.statistics.has_min_max
+                    seen[c.path_in_schema] = seen.get(c.path_in_schema, False) or kept
+        assert {name for name, kept in seen.items() if not kept} == texts and len(seen) == len(df.columns)
+
+
 # ---- sorted rows and their lists ---------------------------------------------------------------
 
 
