@@ -307,6 +307,27 @@ def test_the_deal_report_sorts_before_it_has_lists(spark):
         assert "rangepartitioning" not in plan
 
 
+def test_a_numbered_export_stands_by_its_lists(spark, tmp_path):
+    """Its numbers give the output order; a file holds the lists of its descriptions, not those of all."""
+    directory = "/root/testdata/sf0.001"
+    t, prev = sample_tables(spark, directory), previous_export(spark, directory)
+    want = [tuple(r) for r in deal_export(t, SAMPLE_CONFIG, AS_OF, prev).collect()]
+    numbered = deal_export(t, SAMPLE_CONFIG, AS_OF, prev, numbered=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_snapshot(numbered, str(tmp_path / "first"), numbered=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" not in plan and "Sort [row_no" not in plan
+    written = spark.read.parquet(str(tmp_path / "first"))
+    got = [tuple(r) for r in written.orderBy("row_no").drop("row_no").collect()]
+    assert got == want and written.select("row_no").distinct().count() == len(want)
+    listed = written.filter("suppliers != ''").select(F.input_file_name().alias("f"), F.lower("description").alias("d"))
+    kinds = listed.distinct()
+    assert kinds.select("f").distinct().count() > 1 and kinds.select("d").distinct().count() == kinds.count() > 8
+
+
 def test_an_edited_export_keeps_its_numbers_unsorted(spark, tmp_path):
     first, edited = str(tmp_path / "first"), str(tmp_path / "edited")
     rows = spark.range(100).select(F.col("id").cast("string").alias("code"), F.lit(1.0).alias("last_price"),
